@@ -44,4 +44,26 @@ select doc_id, count(*) as n_lines, cast(count(*) filter (where gone) as bigint)
 from m group by doc_id
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op7_line_dedup": OP7}
+#: Components: reach is closed by repeated squaring of the links, which suits small tables.
+OP3 = f"""
+with recursive d as (
+  select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') || case when len(w) < 5 then chr(10) else '' end as g
+  from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+f as (select g from s group by g having count(*) > 1),
+o as (
+  select a.doc_id as x, b.doc_id as y, count(*) as common
+  from (s join f using (g)) a join (s join f using (g)) b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (
+  select x, y from o join n nx on nx.doc_id = x join n ny on ny.doc_id = y
+  where 100 * common >= 75 * (nx.n + ny.n - common)),
+e2 as (select x, y from e union select y, x from e),
+r as (select x, y from e2 union select r.x, e2.y from r join e2 on r.y = e2.x)
+select d.doc_id, coalesce(n.n, 0) as n_shingles,
+       least(d.doc_id, coalesce(c.m, d.doc_id)) as component_id
+from d left join n using (doc_id) left join (select x, min(y) as m from r group by x) c on c.x = d.doc_id
+"""
+
+ORACLES = {"op3_ngram_jaccard": OP3, "op1_decontaminate": OP1, "op7_line_dedup": OP7}

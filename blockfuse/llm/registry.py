@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup
+from . import decontaminate, jaccard, linededup
 from .common import read_table
 from .oracles import ORACLES
 
@@ -15,13 +15,17 @@ def op1_decontaminate(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_ngram_jaccard(spark, sf_dir):
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark, sf_dir):
     out = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def queries():
-    return {f.__name__: f for f in (op1_decontaminate, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_decontaminate, op3_ngram_jaccard, op7_line_dedup)}
 
 
 def oracle_sql():
