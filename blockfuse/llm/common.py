@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 #: A side is broadcast only if its counted rows times this estimate stay below the bound.
 BROADCAST_BYTES = 32 << 20
 
-_work: dict[str, SparkSession] = {}
+_work: dict[str, tuple[SparkSession, str]] = {}
+_scope = ["operator"]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
         found = "file://" + tempfile.mkdtemp(prefix="blockfuse-")
         spark.conf.set("blockfuse.work.dir", found)
         sc.setCheckpointDir(found)
-        _work[found] = spark
+        _work[found] = (spark, "folder")
     return found
 
 
@@ -37,18 +39,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/blockfuse-work/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _work[path] = spark
+    _work[path] = (spark, _scope[-1])
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the work tables written so far. Call it only when no result that reads them is
+@contextlib.contextmanager
+def work_scope(name: str):
+    """Work tables written meanwhile belong to ``name``, and can be released by it."""
+    _scope.append(name)
+    try:
+        yield
+    finally:
+        _scope.pop()
+
+
+def release(spark: SparkSession, scope: str | None = None) -> None:
+    """Delete the work tables of a scope (None: all). Call it only when no result that reads them is
     still to be computed (the pipeline does so once a stage's output has been written)."""
-    for path in [p for p, s in _work.items() if s is spark]:
+    for path in [p for p, (s, at) in _work.items() if s is spark and scope in (None, at)]:
         del _work[path]
         try:
-            jvm = spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # the session has ended
             pass
@@ -56,7 +67,7 @@ def release(spark: SparkSession) -> None:
 
 @atexit.register
 def _at_exit() -> None:
-    for spark in list({id(s): s for s in _work.values()}.values()):
+    for spark in list({id(s): s for s, _ in _work.values()}.values()):
         release(spark)
 
 

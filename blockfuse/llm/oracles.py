@@ -66,4 +66,37 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles,
 from d left join n using (doc_id) left join (select x, min(y) as m from r group by x) c on c.x = d.doc_id
 """
 
-ORACLES = {"op3_ngram_jaccard": OP3, "op1_decontaminate": OP1, "op7_line_dedup": OP7}
+#: The level of the targets lies below the first breakpoint cap / weight at which the filled total suffices.
+OP5 = r"""
+with d as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+         md5(coalesce(cast(doc_id as varchar), '') || ':mix-1') as k
+  from documents),
+s as (select source, sum(size) as S from d group by source),
+w as (
+  select source, S, 2.0::double * S as cap,
+         (array[5.0::double, 2.0, 1.0])[cast((row_number() over (order by encode(source) nulls last) - 1) % 3 as int) + 1] as w
+  from s),
+f as (select a.cap / a.w as r, sum(least(b.cap, a.cap / a.w * b.w)) as filled from w a, w b group by a.source, a.cap, a.w),
+x as (select min(r) as r from f where filled >= (select 1.5::double * sum(S) from w)),
+v as (
+  select ((select 1.5::double * sum(S) from w) - coalesce(sum(cap) filter (where cap / w < r), 0))
+         / sum(w) filter (where cap / w >= r) as level
+  from w, x),
+t as (select source, cast(S as bigint) as S, least(cap, w * level) as target from w, v),
+q as (
+  select d.doc_id, d.source, d.size, t.S, t.target,
+         sum(d.size) over (partition by d.source order by d.k, d.doc_id, d.size rows between unbounded preceding and current row) as u
+  from d join t on d.source is not distinct from t.source),
+c as (
+  select size, cast(u + e * S as double) / target as v from q, (select unnest([0, 1]) as e) where size > 0 and target > 0),
+o as (select v, sum(size) over (order by v) as upto from c),
+z as (select max(v) as last from o where upto <= (select sum(target) from t))
+select doc_id, size, S as source_size, target,
+       cast(size * (case when size > 0 and target > 0 then
+         (cast(u as double) / target <= coalesce(last, -1))::int + (cast(u + S as double) / target <= coalesce(last, -1))::int
+         else 0 end) as bigint) as taken
+from q, z
+"""
+
+ORACLES = {"op5_fair_mixing": OP5, "op3_ngram_jaccard": OP3, "op1_decontaminate": OP1, "op7_line_dedup": OP7}

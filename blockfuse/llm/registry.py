@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, linededup
+from . import decontaminate, jaccard, langid, linededup, mixing
 from .common import read_table
 from .oracles import ORACLES
 
@@ -19,13 +19,29 @@ def op3_ngram_jaccard(spark, sf_dir):
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_fair_mixing(spark, sf_dir):
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark, sf_dir):
     out = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_language_id(spark, sf_dir):
+    """Documents (with doc_id) and pages (with page_id), each with the evidence that it has."""
+    docs = langid.identify_documents(read_table(spark, sf_dir, "documents"))
+    pages = langid.identify_pages(read_table(spark, sf_dir, "pages"))
+    out = F.col("lang_id"), F.round("lang_posterior", 6).alias("lang_posterior"), F.col("accepted")
+    none = F.lit(None).cast("long")
+    return docs.select("doc_id", none.alias("page_id"), *out).unionByName(
+        pages.select(none.alias("doc_id"), "page_id", *out)
+    )
+
+
 def queries():
-    return {f.__name__: f for f in (op1_decontaminate, op3_ngram_jaccard, op7_line_dedup)}
+    found = (op1_decontaminate, op3_ngram_jaccard, op5_fair_mixing, op7_line_dedup, op10_language_id)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql():
