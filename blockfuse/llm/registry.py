@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, linededup, mixing
+from . import decontaminate, fingerprint, jaccard, langid, linededup, mixing, urlfilter
 from .common import read_table
 from .oracles import ORACLES
 
@@ -15,10 +15,19 @@ def op1_decontaminate(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op2_url_filter(spark, sf_dir):
+    out = urlfilter.classify(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_ngram_jaccard(spark, sf_dir):
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_imatch(spark, sf_dir):
+    return fingerprint.edited_study(read_table(spark, sf_dir, "documents"))
+
+
 def op5_fair_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -40,7 +49,15 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    found = (op1_decontaminate, op3_ngram_jaccard, op5_fair_mixing, op7_line_dedup, op10_language_id)
+    found = (
+        op1_decontaminate,
+        op2_url_filter,
+        op3_ngram_jaccard,
+        op4_imatch,
+        op5_fair_mixing,
+        op7_line_dedup,
+        op10_language_id,
+    )
     return {f.__name__: f for f in found}
 
 
