@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, jaccard, langid, linededup, mixing, urlfilter
+from . import decontaminate, fingerprint, jaccard, langid, linededup, mixing, toxicity, urlfilter
 from .common import read_table
 from .oracles import ORACLES
 
@@ -37,6 +37,11 @@ def op7_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_toxicity(spark, sf_dir):
+    out = toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_language_id(spark, sf_dir):
     """Documents (with doc_id) and pages (with page_id), each with the evidence that it has."""
     docs = langid.identify_documents(read_table(spark, sf_dir, "documents"))
@@ -56,6 +61,7 @@ def queries():
         op4_imatch,
         op5_fair_mixing,
         op7_line_dedup,
+        op9_toxicity,
         op10_language_id,
     )
     return {f.__name__: f for f in found}
