@@ -1,14 +1,14 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Tokens are words (A-Z lower-cased); labels are O and T (toxic). The chain has emission weights for the
-word, for a word's character shape (its three-character ending), and transition weights. It is trained
-on labelled tokens: from a bounded sample of labelled documents, a token of a toxic document is
-labelled T if its word occurs almost only in toxic documents of the sample (one-sided lower bound on
-its odds), all others O; where the caller has token labels, ``fit`` takes those. Weights are found by
-gradient ascent on the regularised log-likelihood (forward-backward expectations).
-
-Scoring computes forward-backward marginals of every token of a whole text. Words without a weight of
-their own share one emission, so a run of k of them is one step with the k-th power of their transition
+Tokens are words (A-Z lower-cased); labels are O and T (toxic). The chain has emission weights for
+*marks*, which are words or word beginnings (3 to 8 bytes, so that inflected and compound forms share
+one), and transition weights. It is trained on labelled tokens: in a bounded sample of labelled
+documents, marks are found whose documents are toxic far more often than not (a lower bound on the
+ratio of rates) and which together explain the toxic ones; the tokens of a toxic document that have a
+mark are labelled T, all others O. Where the caller has token labels, ``fit`` takes those. Weights are
+found by gradient ascent on the regularised log-likelihood (forward-backward expectations).
+
+Scoring computes forward-backward marginals of every token of a whole text. Words without a mark share one emission, so a run of k of them is one step with the k-th power of their transition
 matrix; only the other tokens are visited. The result is that of visiting every token.
 
 The document's score is a noisy-or of its tokens' marginals, each less the marginal that a word
@@ -45,12 +45,36 @@ def tokens(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
+_STEM = range(8, 2, -1)
+
+
+class _MarkOf(dict):
+    """The mark of a word: itself, or its longest beginning that is one (with a * at the end), or None."""
+
+    def __init__(self, marks: set[bytes]):
+        super().__init__()
+        self.marks = marks
+
+    def __missing__(self, word: bytes):
+        if len(self) > 1 << 20:
+            self.clear()
+        got = word if word in self.marks else None
+        if got is None:
+            got = next((s for n in _STEM if len(word) > n and (s := word[:n] + b"*") in self.marks), None)
+        self[word] = got
+        return got
+
+    def __reduce__(self):
+        return _MarkOf, (self.marks,)
+
+
 class Chain:
-    """Two labels; ``emission[word]`` is the weight of T against O, ``other`` that of all other words;
+    """Two labels; ``emission[mark]`` is the weight of T against O, ``other`` that of all other words;
     ``step``: 2 x 2 transition weights, ``start``: two weights."""
 
     def __init__(self, emission: dict[bytes, float], other: float, step: np.ndarray, start: np.ndarray):
         self.emission, self.other, self.step, self.start = emission, other, step, start
+        self.mark_of = _MarkOf(set(emission))
         plain = np.exp(np.array([0.0, other]))
         # the matrix of a step onto a word without weight, in its eigenbasis: powers in closed form
         self._plain = np.exp(step) * plain[None, :]
@@ -79,7 +103,7 @@ class Chain:
     def marginals(self, words: list[bytes]) -> list[tuple[int, float]]:
         """(index, P(T)) of the tokens that have a weight."""
         weight = self.emission
-        active = [(i, weight[w]) for i, w in enumerate(words) if w in weight]
+        active = [(i, weight[m]) for i, m in enumerate(map(self.mark_of.__getitem__, words)) if m is not None]
         if not active:
             return []
         t = np.exp(self.step)
@@ -131,7 +155,7 @@ class Chain:
 
 def plain_marginals(chain: Chain, words: list[bytes]) -> list[float]:
     """Forward-backward over every token, for tests and training."""
-    e = np.array([[1.0, math.exp(chain.emission.get(w, chain.other))] for w in words])
+    e = np.array([[1.0, math.exp(chain.emission.get(chain.mark_of[w], chain.other))] for w in words])
     t = np.exp(chain.step)
     f = np.empty_like(e)
     f[0] = np.exp(chain.start) * e[0]
@@ -147,48 +171,48 @@ def plain_marginals(chain: Chain, words: list[bytes]) -> list[float]:
     return (g[:, 1] / g.sum(axis=1)).tolist()
 
 
-def token_labels(docs: list[tuple[list[bytes], int]], z: float = 2.6) -> set[bytes]:
-    """Words that mark toxic documents: the lower bound of the share of toxic documents among those
-    that hold the word, each kind weighted alike, is above 0.75; words of clean documents are spared."""
+def find_marks(docs: list[tuple[list[bytes], int]], z: float = 2.6) -> set[bytes]:
+    """Words and beginnings that mark toxic documents. Candidates: the lower bound (z standard errors)
+    of the ratio of their rates in toxic and clean documents is above 3. Of these, a greedy cover takes
+    the one that explains most toxic documents that are not explained yet, less its rate in clean
+    ones, down to one document in fifty; frequent candidates that no clean document holds follow."""
     bad, good = Counter(), Counter()
-    n1 = sum(1 for _, y in docs if y)
-    n0 = len(docs) - n1
+    sets = []
     for words, y in docs:
-        (bad if y else good).update(set(words))
-    out = set()
-    for w, k in bad.items():
-        if k < 3:
-            continue
-        p, q = (k + 0.5) / (n1 + 1), (good[w] + 0.5) / (n0 + 1)
-        # log of the ratio of the two rates, less z standard errors
-        if math.log(p / q) - z * math.sqrt(1 / (k + 0.5) + 1 / (good[w] + 0.5)) > math.log(3):
-            out.add(w)
-    # of the words of a document, those explain it that explain most others: greedy cover, down to
-    # words that explain one document in fifty (copies of one text share words by chance)
+        kinds = set(words)
+        kinds |= {w[:n] + b"*" for w in kinds for n in _STEM if len(w) > n}
+        (bad if y else good).update(kinds)
+        if y:
+            sets.append(kinds)
+    n1, n0 = len(sets), len(docs) - len(sets)
+
+    def above(w: bytes, k: int) -> bool:
+        ratio = math.log((k + 0.5) / (n1 + 1)) - math.log((good[w] + 0.5) / (n0 + 1))
+        return ratio - z * math.sqrt(1 / (k + 0.5) + 1 / (good[w] + 0.5)) > math.log(3)
+
     fewest = max(3, n1 // 50)
-    chosen: set[bytes] = set()
-    left = [set(words) & out for words, y in docs if y]
+    able = {w for w, k in bad.items() if k >= fewest and above(w, k)}
+    left, chosen = [x & able for x in sets], set()
     while left := [x for x in left if x and not x & chosen]:
-        best, n = Counter(w for x in left for w in x).most_common(1)[0]
-        if n < fewest:
+        cover = Counter(w for x in left for w in x)
+        # of equally good ones the longer, which is the more particular
+        best = max(cover, key=lambda w: (cover[w] / n1 - good[w] / n0, len(w), w))
+        if cover[best] < fewest:
             break
         chosen.add(best)
-    # and others that mark as many documents as the chosen ones do
-    if chosen:
-        least = min(bad[w] for w in chosen)
-        chosen |= {w for w in out if bad[w] >= least and not good[w]}
-    return chosen
+    return chosen | {w for w in able if not good[w] and bad[w] >= max(8, n1 // 25)}
 
 
-def fit(sequences: list[tuple[list[bytes], list[int]]], rounds: int = 200, l2: float = 0.0002) -> Chain:
+def fit(
+    sequences: list[tuple[list[bytes], list[int]]], marks: set[bytes], rounds: int = 200, l2: float = 0.0002
+) -> Chain:
     """Weights from labelled tokens, by adaptive gradient ascent on batches of forward-backward passes."""
-    marked = sorted({w for words, ys in sequences for w, y in zip(words, ys, strict=True) if y})
-    number = {w: k for k, w in enumerate(marked)}
+    marked = sorted(marks)
+    number, mark_of = {w: k for k, w in enumerate(marked)}, _MarkOf(marks)
     width = len(marked) + 1
-    # windows around the marked words hold all that the gradient of rare labels needs
     pieces = []
     for words, ys in sequences:
-        ids = np.array([number.get(w, width - 1) for w in words], np.int64)
+        ids = np.array([number.get(mark_of[w], width - 1) for w in words], np.int64)
         pieces.append((ids, np.array(ys, np.int64)))
     longest = max(len(i) for i, _ in pieces)
     ids = np.full((len(pieces), longest), width - 1)
@@ -250,7 +274,8 @@ def training_texts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     chosen = known.where(part < bound).orderBy(F.xxhash64("doc_id")).limit(3 * sample)
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     picked = picked.join(F.broadcast(chosen), "doc_id").where(F.octet_length("text") > 0)
-    return [(r[0].encode(), r[1]) for r in picked.orderBy("doc_id", "text").select("text", "toxic").limit(4 * sample).collect()]
+    picked = picked.groupBy("text").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("text")).limit(3 * sample)
+    return [(r[0].encode(), r[1]) for r in picked.collect()]
 
 
 #: Training sees at most this many tokens around each place that matters.
@@ -261,20 +286,21 @@ def train(sample: list[tuple[bytes, int]]) -> Chain | None:
     docs = [(tokens(t), y) for t, y in sample]
     if len({y for _, y in docs}) < 2:
         return None
-    marks = token_labels(docs)
+    marks = find_marks(docs)
     if not marks:
         return None
+    mark_of = _MarkOf(marks)
     sequences = []
     for words, y in docs:
-        at = [i for i, w in enumerate(words) if w in marks]
+        at = [i for i, w in enumerate(words) if mark_of[w] is not None]
         if y and at:
             for i in at[:4]:
                 piece = words[max(0, i - _AROUND) : i + _AROUND + 1]
-                sequences.append((piece, [int(w in marks) for w in piece]))
+                sequences.append((piece, [int(mark_of[w] is not None) for w in piece]))
         elif words:
             piece = (words[at[0] - _AROUND if at and at[0] > _AROUND else 0 :] if at else words)[: 2 * _AROUND + 1]
             sequences.append((piece, [0] * len(piece)))
-    return fit(sequences)
+    return fit(sequences, marks)
 
 
 def tag(
