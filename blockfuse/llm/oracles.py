@@ -99,4 +99,20 @@ select doc_id, size, S as source_size, target,
 from q, z
 """
 
-ORACLES = {"op5_fair_mixing": OP5, "op3_ngram_jaccard": OP3, "op1_decontaminate": OP1, "op7_line_dedup": OP7}
+OP8 = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as h from pages),
+w as (select h, max(page_id) as m from p group by h),
+d as (
+  select h, list_aggregate(list_transform(generate_series(0, 31), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      cast((cast('0x' || substr(h, cast(5 * i // 4 + 1 as int), 2) as int) >> cast(3 - (5 * i) % 4 as int)) & 31 as int) + 1, 1)
+    ), 'string_agg', '') as b
+  from w)
+select page_id, cast(n as bigint) as payload_bytes, b as payload_digest,
+       case when page_id = m then 'response' else 'revisit' end as record_type,
+       case when page_id = m then null else m end as refers_to
+from p join w using (h) join d using (h)
+"""
+
+ORACLES = {"op8_warc": OP8, "op5_fair_mixing": OP5, "op3_ngram_jaccard": OP3, "op1_decontaminate": OP1, "op7_line_dedup": OP7}

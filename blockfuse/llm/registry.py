@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, jaccard, langid, linededup, mixing, toxicity, urlfilter
+from . import decontaminate, fingerprint, jaccard, langid, linededup, mixing, pii, toxicity, urlfilter, warc
 from .common import read_table
 from .oracles import ORACLES
 
@@ -32,11 +32,20 @@ def op5_fair_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark, sf_dir):
+    return pii.find(read_table(spark, sf_dir, "documents")).drop("found")
+
+
 def op7_line_dedup(spark, sf_dir):
     out = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_warc(spark, sf_dir):
+    out = warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_toxicity(spark, sf_dir):
     out = toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
@@ -60,7 +69,9 @@ def queries():
         op3_ngram_jaccard,
         op4_imatch,
         op5_fair_mixing,
+        op6_pii,
         op7_line_dedup,
+        op8_warc,
         op9_toxicity,
         op10_language_id,
     )
