@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, materialize, texts
+from .common import BROADCAST_BYTES, materialize, maybe_broadcast, texts
 
 MIN_CHARS = 10
 #: Bits of a filter for each line, and the least and most bits of a filter (powers of two).
@@ -164,8 +164,9 @@ def repeated_keys(docs: DataFrame, doc_id: str, text_col: str, min_chars: int =
     )
     found = materialize(narrow.mapInArrow(suspects, "key binary, id long"), "suspects")
     first = found.groupBy("key").agg(F.min("id").alias("keep"), F.max("id").alias("last")).where("keep < last")
+    first = materialize(first.select("key", "keep"), "first")
     return (
-        found.join(first.select("key", "keep"), "key")
+        found.join(maybe_broadcast(first, 60), "key")
         .where("id > keep")
         .groupBy("id")
         .agg(F.collect_set("key").alias("keys"))
