@@ -55,7 +55,7 @@ def countries(spark: SparkSession, path: str | None = None) -> DataFrame:
         return spark.read.schema(COUNTRY).option("header", "true").csv(path).na.fill("")
     jvm, rows = spark._jvm, []
     for code in jvm.java.util.Locale.getISOCountries():
-        place = jvm.java.util.Locale.of("", code)
+        place = jvm.java.util.Locale("", code)
         money = jvm.java.util.Currency.getInstance(place)
         rows.append((code, place.getDisplayCountry(jvm.java.util.Locale.ENGLISH), "", "", money.getCurrencyCode() if money else ""))
     return spark.createDataFrame(rows, COUNTRY)

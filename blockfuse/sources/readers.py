@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ip, text
+from ..operators.boundary import settled
 
 SEED = "start_ip string, end_ip string, continent string, country string, state string, city string, latitude string, longitude string"
 
@@ -16,14 +17,17 @@ def seed(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
 
     ``on_error``: what a row with another number of columns does: 'fail', 'skip', or 'truncate' (it and
     all later rows of its file are left out)."""
+    read = spark.read.option("columnPruning", "false")  # a row is malformed whatever columns are asked for
     mode = {"fail": "FAILFAST", "skip": "DROPMALFORMED", "truncate": "PERMISSIVE"}[on_error]
     if on_error == "truncate":
-        raw = spark.read.schema(SEED + ", bad string").option("columnNameOfCorruptRecord", "bad").option("mode", mode).csv(path)
+        raw = read.schema(SEED + ", bad string").option("columnNameOfCorruptRecord", "bad").option("mode", mode).csv(path)
         raw = raw.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+        # the columns are parsed as a whole, so that what is asked for does not decide what is malformed
+        raw = settled(raw)
         first = raw.where("bad is not null").groupBy("file").agg(F.min("at").alias("cut"))
         raw = raw.join(F.broadcast(first), "file", "left").where("cut is null or at < cut").drop("file", "at", "cut", "bad")
     else:
-        raw = spark.read.schema(SEED).option("mode", mode).csv(path)
+        raw = read.schema(SEED).option("mode", mode).csv(path)
     return seed_rows(raw)
 
 
