@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -94,5 +96,14 @@ def texts(column: pa.Array) -> Iterator[bytes | None]:
         yield data[offsets[k] : offsets[k + 1]].tobytes() if valid[k] else None
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package wherever they are started from."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -17,7 +17,8 @@ the order comes from a fixed-size count sketch that is summed over the shingles
   every pair that is left is tried. So no link between components is lost, and no list is expanded
   into all its pairs. Very frequent shingles are salted, so that a list spreads over tasks; its parts
   meet again in the later rounds.
-* Candidates are verified on the whole sets, which only those documents send that have a candidate.
+* Candidates are verified on the whole sets, which only those classes send that have a candidate or are
+  in a long list.
 
 Defined cases: words are runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z. A text of fewer words than
 ``words``, but not none, is one shingle, equal only to the same sequence; a null, empty or blank text
@@ -29,11 +30,10 @@ ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,40 +44,107 @@ from .graph import components
 WORDS, PERCENT = 5, 75
 SKETCH_BITS = 20
 #: Most members of a list that gives all its pairs; most hub rounds; highest prefix level.
-SMALL, ROUNDS, MOST_LEVEL = 8, 4, 8
+SMALL, ROUNDS, MOST_LEVEL = 8, 3, 8
 #: What verifying a candidate costs, in list entries.
 VERIFY = 4.0
 #: Estimated members of a list beyond which it is salted, and most salts.
 SALT_ROWS, MOST_SALTS = 1 << 15, 1 << 12
 _SKETCH_BLOCK = 1 << 14
-_WORD_CACHE = 1 << 20
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORD_CACHE:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def shingle_hashes(text: bytes | None, cache: dict, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
-    found = text.lower().split() if text else []
-    if not found:
-        return np.empty(0, np.uint64)
-    if len(found) < words:
-        return np.array([xxhash.xxh3_64_intdigest(b"\x00few\x00" + b" ".join(found))], np.uint64)
-    h = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
-    n = len(h) - words + 1
-    out = h[:n].copy()
+
+
+_M = (1 << 64) - 1
+_BASE = 0x9E3779B97F4A7C15
+#: Texts are hashed together in chunks of about so many bytes.
+_CHUNK = 1 << 18
+
+
+def _splitmix(x: int) -> int:
+    x = (x + 0x9E3779B97F4A7C15) & _M
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _M
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _M
+    return x ^ (x >> 31)
+
+
+_FOLDED = [b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)]
+_VALUE = np.array([_splitmix(b) for b in _FOLDED], np.uint64)
+_BLANK = np.array([b in (0x20, 9, 10, 11, 12, 13) for b in range(256)])
+
+
+class _Powers:
+    """Powers of the base and of its inverse modulo 2^64, as many as have been asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int):
+        if n > len(self.up):
+            size = max(n, 2 * len(self.up))
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                out = np.full(size, base, np.uint64)
+                out[0] = 1
+                np.multiply.accumulate(out, out=out)
+                setattr(self, name, out)
+        return self.up[:n], self.down
+
+
+_POWERS = _Powers()
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(32))
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, hash) of each word: the words' bytes as digits of a number, modulo 2^64, mixed."""
+    raw = np.frombuffer(data, np.uint8)
+    blank = _BLANK[raw]
+    edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+    first, end = edge[::2], edge[1::2]
+    up, down = _POWERS.upto(len(raw))
+    sums = np.empty(len(raw) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_VALUE[raw] * up, out=sums[1:])
+    h = (sums[end] - sums[first]) * down[first]
+    return first, _mixed(h + (end - first).astype(np.uint64) * np.uint64(_BASE))
+
+
+def shingle_sets(found: Iterable[bytes | None], words: int = WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of each text, in order."""
+    held, size = [], 0
+    for text in found:
+        held.append(text or b"")
+        size += len(held[-1]) + 1
+        if size >= _CHUNK:
+            yield from _sets(held, words)
+            held, size = [], 0
+    if held:
+        yield from _sets(held, words)
+
+
+def _sets(held: list[bytes], words: int) -> Iterator[np.ndarray]:
+    starts = np.cumsum([0, *(len(t) + 1 for t in held)])
+    first, h = _word_hashes(b" ".join(held) + b" ")
+    n = max(len(h) - words + 1, 0)
+    s = h[:n].copy()
     for k in range(1, words):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out += h[k : k + n]
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    out ^= out >> np.uint64(29)
-    return np.unique(out)
+        s *= np.uint64(_BASE)
+        s += h[k : k + n]
+    s = _mixed(s)
+    cuts = np.searchsorted(first, starts).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b - a >= words:
+            yield np.unique(s[a : b - words + 1])
+        elif b > a:  # all of a short text is one shingle, told from others by its number of words
+            one = np.uint64(b - a)
+            for x in h[a:b]:
+                one = _mixed(np.array([one]) * np.uint64(_BASE) + x)[0]
+            yield np.array([one], np.uint64)
+        else:
+            yield np.empty(0, np.uint64)
 
 
 def class_id(hashes: np.ndarray) -> int:
@@ -94,11 +161,11 @@ def sketch(narrow: DataFrame, words: int) -> np.ndarray:
     size = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, held = _WordHashes(), np.zeros(size, np.int64)
+        held = np.zeros(size, np.int64)
         for batch in batches:
             sets, waiting = [], 0
-            for text in texts(batch.column("text")):
-                sets.append(shingle_hashes(text, cache, words) >> np.uint64(64 - SKETCH_BITS))
+            for found in shingle_sets(texts(batch.column("text")), words):
+                sets.append(found >> np.uint64(64 - SKETCH_BITS))
                 waiting += len(sets[-1])
                 if waiting > size:
                     held += np.bincount(np.concatenate(sets).astype(np.int64), minlength=size)
@@ -146,11 +213,10 @@ def prefixes(narrow: DataFrame, counts: np.ndarray, words: int, percent: int) ->
     shipped = narrow.sparkSession.sparkContext.broadcast(np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen, often = _WordHashes(), set(), shipped.value
+        seen, often = set(), shipped.value
         for batch in batches:
             rows: list = []
-            for text in texts(batch.column("text")):
-                s = shingle_hashes(text, cache, words)
+            for s in shingle_sets(texts(batch.column("text")), words):
                 n = len(s)
                 if not n:
                     rows.append((0, None, None, None, None))
@@ -186,23 +252,26 @@ def prefixes(narrow: DataFrame, counts: np.ndarray, words: int, percent: int) ->
     return materialize(narrow.mapInArrow(build, shape), "prefixes")
 
 
-_MEETINGS = "kind int, tok long, a long, b long, n int, lv int, ell int"
+_MEETINGS = "kind int, tok long, a long, b long, n int, pos int, ell int, sure boolean"
 
 
 def meetings(table: DataFrame, percent: int) -> DataFrame:
-    """What the lists give: rows of kind 0 (a pair of a short list: a, b, the level lv it needs and the
-    pair's level ell), 1 (hub a, member b) and 2 (a long list's member a with its n, lv and ell). A part
-    of a salted list counts as long, however many members it has."""
+    """What the lists give: rows of kind 0 (a pair a, b of a short list with the pair's level ell), 1 (hub
+    a, member b) and 2 (a long list's member a with its n, pos and ell). A part of a salted list counts
+    as long, however many members it has.
+
+    A pair is passed over where its positions in the two orders leave too few shingles for the
+    overlap it needs: of the first L shared shingles, the i-th (from 0) leaves at least that less i.
+    ``sure`` marks what the first one fulfils."""
     listed = table.where("toks is not null").select(
         "cls", "n", "ell", F.posexplode(F.arrays_zip("toks", "salts")).alias("pos", "t")
     )
-    base = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
     listed = listed.select(
         F.col("t.toks").alias("tok"),
         F.col("t.salts").alias("salt"),
         "cls",
         F.col("n").cast("int").alias("n"),
-        F.greatest(F.lit(1), F.col("pos") - base + 2).cast("int").alias("lv"),
+        F.col("pos").cast("int").alias("pos"),
         "ell",
     )
     parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -219,22 +288,25 @@ def meetings(table: DataFrame, percent: int) -> DataFrame:
                     linked(m)
                 return
             for j in range(1, len(held)):
-                cb, nb, lb, eb = held[j]
+                cb, nb, pb, eb = held[j]
                 for i in range(j):
-                    ca, na, la, ea = held[i]
-                    ell, lv = min(ea, eb), max(la, lb)
-                    if lv <= ell and 100 * min(na, nb) >= percent * max(na, nb):
-                        out.append((0, key[0], ca, cb, 0, lv, ell))
+                    ca, na, pa_, ea = held[i]
+                    ell, need = min(ea, eb), -(-percent * (na + nb) // (100 + percent))
+                    room = min(na - pa_, nb - pb)
+                    most = -(-percent * na // 100), -(-percent * nb // 100)
+                    if room >= need - ell + 1 and pa_ <= na - most[0] + ell - 1 and pb <= nb - most[1] + ell - 1:
+                        out.append((0, key[0], ca, cb, 0, 0, ell, room >= need))
 
         def linked(member):
-            out.append((2, key[0], member[0], None, *member[1:]))
+            out.append((2, key[0], member[0], None, *member[1:], None))
             hub = held[0]
-            if member is not hub and 100 * min(hub[1], member[1]) >= percent * max(hub[1], member[1]):
-                out.append((1, None, hub[0], member[0], 0, 0, 0))
+            need = -(-percent * (hub[1] + member[1]) // (100 + percent))
+            if member is not hub and min(hub[1] - hub[2], member[1] - member[2]) >= need - MOST_LEVEL:
+                out.append((1, None, hub[0], member[0], 0, 0, 0, None))
 
         def rows():
             names = [f.split()[0] for f in _MEETINGS.split(", ")]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names
             )
@@ -250,7 +322,7 @@ def meetings(table: DataFrame, percent: int) -> DataFrame:
             take |= salt > 0
             if len(take):
                 take[0] = take[-1] = True
-            for t, s, cls, n, lv, ell in zip(*(c[take].tolist() for c in cols), strict=True):
+            for t, s, cls, n, pos, ell in zip(*(c[take].tolist() for c in cols), strict=True):
                 if (t, s) != key:
                     if not long_list and held:
                         pairs()
@@ -258,7 +330,7 @@ def meetings(table: DataFrame, percent: int) -> DataFrame:
                 if cls == last:  # the same class from another task
                     continue
                 last = cls
-                member = (cls, n, lv, ell)
+                member = (cls, n, pos, ell)
                 if long_list:
                     linked(member)
                     continue
@@ -282,7 +354,8 @@ def meetings(table: DataFrame, percent: int) -> DataFrame:
 def candidates(met: DataFrame) -> DataFrame:
     """Pairs (a, b) to verify first: hub pairs, and pairs of short lists that share as many shingles as
     their level asks for; where both are also in long lists, which may hold the rest, one is enough."""
-    short = met.where("kind = 0").groupBy("a", "b").agg((F.count("*") >= F.min("ell")).alias("enough"))
+    short = met.where("kind = 0").groupBy("a", "b")
+    short = short.agg(((F.count("*") >= F.min("ell")) & F.bool_or("sure")).alias("enough"))
     in_long = met.where("kind = 2").select(F.col("a").alias("c")).distinct()
     rest = (
         short.where("not enough")
@@ -294,16 +367,15 @@ def candidates(met: DataFrame) -> DataFrame:
     return order(hubs).unionByName(order(short.where("enough"))).unionByName(order(rest)).distinct()
 
 
-def verified(narrow: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a table) that link, by the overlap of their whole sets."""
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = materialize(wanted, "wanted")
+def whole_sets(narrow: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """Table (cls, s): the whole sets of the wanted classes."""
+    wanted = materialize(wanted.distinct(), "wanted")
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen = _WordHashes(), set()
+        seen = set()
         for batch in batches:
             ids, sets, waiting = [], [], 0
-            for text in texts(batch.column("text")):
-                s = shingle_hashes(text, cache, words)
+            for s in shingle_sets(texts(batch.column("text")), words):
                 if not len(s) or (cls := class_id(s)) in seen:
                     continue
                 seen.add(cls)
@@ -316,6 +388,13 @@ def verified(narrow: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["cls", "s"])
 
+    sets = narrow.mapInArrow(send, "cls long, s binary").join(maybe_broadcast(wanted, 40), "cls", "left_semi")
+    return materialize(sets.dropDuplicates(["cls"]), "sets")
+
+
+def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a table) that link, by the overlap of their whole sets."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
@@ -329,14 +408,58 @@ def verified(narrow: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
                     b.append(cb)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    sets = narrow.mapInArrow(send, "cls long, s binary").join(maybe_broadcast(wanted, 40), "cls", "left_semi")
-    sets = materialize(sets.dropDuplicates(["cls"]), "sets")
     left = sets.select(F.col("cls").alias("a"), F.col("s").alias("sa"))
     right = sets.select(F.col("cls").alias("b"), F.col("s").alias("sb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
     return materialize(both.mapInArrow(compare, "a long, b long"), "links")
 
 
+def _settle(member: DataFrame, tried: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``found`` with the links between different components that long lists still hide."""
+    for step in range(ROUNDS):
+        parts = components(found)
+        at = member.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
+        at = materialize(at.withColumn("component", F.coalesce("component", "cls")), "members")
+        split = at.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        split = materialize(split.where("lo < hi").select("tok"), "split")
+        at = materialize(at.join(maybe_broadcast(split, 40), "tok"), "unsettled")
+        sizes = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
+        open_ = F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m"))
+        left, n = sizes.agg(open_.alias("p"), F.sum("m").alias("m")).agg(F.sum("p") / 2, F.sum("m")).first()
+        if not n:
+            return found
+        last = step == ROUNDS - 1 or left <= 8 * n + 100_000
+        x = at.select(
+            "tok", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
+            F.col("ell").alias("ea"), F.col("component").alias("ca"),
+        )
+        y = at
+        if not last:  # a hub for each list, another one each time
+            hub = F.min_by(F.struct("cls", "n", "pos", "ell", "component"), F.xxhash64("cls", F.lit(step)))
+            y = at.groupBy("tok").agg(hub.alias("h")).select("tok", "h.*")
+        y = y.select(
+            "tok", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
+            F.col("ell").alias("eb"), F.col("component").alias("cb"),
+        )
+        ell, share = F.least("ea", "eb"), F.lit(percent)
+        need = F.ceil(share * (F.col("na") + F.col("nb")) / (100 + percent))
+        room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+        inside = lambda p, n: F.col(p) <= F.col(n) - F.ceil(share * F.col(n) / 100) + ell - 1
+        keep = (room >= need - ell + 1) & inside("pa", "na") & inside("pb", "nb")
+        differ = (F.col("ca") < F.col("cb")) if last else (F.col("ca") != F.col("cb"))
+        more = x.join(y, "tok").where(differ & keep)
+        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), ell.alias("ell"), (room >= need).alias("sure"))
+        more = more.groupBy("a", "b").agg(F.count("*").alias("m"), F.min("ell").alias("ell"), F.bool_or("sure").alias("sure"))
+        if last:  # a pair that also shares a short list has been verified: these are all its shared shingles
+            more = more.where("m >= ell and sure")
+        more = materialize(more.select("a", "b").join(tried, ["a", "b"], "left_anti"), "more")
+        found = found.unionByName(verified(sets, more, percent))
+        if last:
+            return found
+        tried = tried.unionByName(more)
+    return found
+
+
 def links(docs: DataFrame, doc_id: str, text_col: str, words: int = WORDS, percent: int = PERCENT):
     """(rows, links): rows (doc_id, n, cls) of every document, and verified links (a, b) of classes
     whose components are those of the full join."""
@@ -344,46 +467,10 @@ def links(docs: DataFrame, doc_id: str, text_col: str, words: int = WORDS, perce
     table = prefixes(narrow, sketch(narrow, words), words, percent)
     met = meetings(table, percent)
     tried = materialize(candidates(met), "tried")
-    found = verified(narrow, tried, words, percent)
-    member = met.where("kind = 2").select("tok", F.col("a").alias("cls"), "n", "lv", "ell").distinct()
-    if not member.isEmpty():
-        member = materialize(member, "members")
-        for step in range(ROUNDS):
-            parts = components(found)
-            at = member.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
-            at = at.withColumn("component", F.coalesce("component", "cls"))
-            split = at.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"))
-            at = materialize(at.join(split.where("lo < hi").select("tok"), "tok"), "unsettled")
-            sizes = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
-            left = sizes.agg((F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m"))).alias("p")).agg(
-                F.sum("p") / 2, F.count("*")
-            ).first()
-            if not left[1]:
-                return table.select("doc_id", "n", "cls"), found
-            last = step == ROUNDS - 1 or left[0] <= 100_000
-            x = at.select("tok", F.col("cls").alias("a"), F.col("n").alias("na"), "lv", "ell", F.col("component").alias("ca"))
-            if last:
-                y = at
-            else:
-                near = F.xxhash64("cls", F.lit(step))
-                y = at.groupBy("tok").agg(F.min_by(F.struct("cls", "n", "lv", "ell", "component"), near).alias("h"))
-                y = y.select("tok", "h.*")
-            y = y.select(
-                "tok", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("lv").alias("lvb"),
-                F.col("ell").alias("ellb"), F.col("component").alias("cb"),
-            )
-            sized = (F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")) & F.col("ca").__ne__(F.col("cb"))
-            more = x.join(y, "tok").where(sized & ((F.col("a") < F.col("b")) if last else F.lit(True)))
-            ell, lv = F.least("ell", "ellb"), F.greatest("lv", "lvb")
-            more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), ell.alias("ell"), lv.alias("lv"))
-            if last:  # a pair that also shares a short list has been verified: these are all its shared shingles
-                more = more.where("lv <= ell").groupBy("a", "b").agg(F.count("*").alias("m"), F.min("ell").alias("ell"))
-                more = more.where("m >= ell")
-            more = materialize(more.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "more")
-            found = found.unionByName(verified(narrow, more, words, percent))
-            if last:
-                break
-            tried = tried.unionByName(more)
+    member = materialize(met.where("kind = 2").select("tok", F.col("a").alias("cls"), "n", "pos", "ell").distinct(), "listed")
+    wanted = tried.select(F.col("a").alias("cls")).unionByName(tried.select(F.col("b").alias("cls")))
+    sets = whole_sets(narrow, wanted.unionByName(member.select("cls")), words)
+    found = _settle(member, tried, verified(sets, tried, percent), sets, percent)
     return table.select("doc_id", "n", "cls"), found
 
 

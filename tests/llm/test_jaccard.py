@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from blockfuse.llm import jaccard
+from blockfuse.llm import graph, jaccard
 from blockfuse.llm.graph import components
 
 
@@ -82,7 +82,9 @@ def test_null_ids_ties_empty_and_extra_columns(spark):
     assert [tuple(r) for r in jaccard.near_duplicates(wide).collect()] == [(1, 26, 1)]
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("local", [0, 1 << 17])
+def test_components_of_paths_and_stars(spark, monkeypatch, local):
+    monkeypatch.setattr(graph, "LOCAL_EDGES", local)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200), (300, 301), (301, 300)]
     got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 140), 100), 300: 300, 301: 300}
