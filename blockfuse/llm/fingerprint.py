@@ -15,8 +15,8 @@ and its last part, a hash of all terms of the text, tells apart texts without le
 Likeness of two fingerprints: the share of equal signatures among the subsets in which either has
 terms; for two documents without any, 1 if the hashes of all their terms agree, else 0.
 
-Everything is DataFrame operations. Membership in the lexicon is a look-up in a bit map shipped as a
-literal (two probes; a false member, about one in 10^5 terms, is the same for equal texts).
+Everything is DataFrame operations. Membership in the lexicon is a look-up in a byte map shipped as a
+literal of 128 KB (two probes; at most one term in sixty is a member by mistake, in all texts alike).
 
 Defined cases: null and empty texts are ''; their fingerprint is the same for all. Equal texts have
 equal fingerprints. Rows of equal id (or without: last) are put in order by text. Extra columns are
@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-LOW, HIGH, MOST_TERMS = 0.0005, 0.1, 1 << 20
+LOW, HIGH, MOST_TERMS = 0.0005, 0.1, 1 << 13
 RATES, PER_LEVEL = (4, 16, 64, 256), 12
-_BITMAP = 1 << 22
+_BITMAP = 1 << 17
 
 #: Terms: runs of letters, digits and anything beyond ASCII, in lower case.
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -55,13 +55,13 @@ def lexicon(term_arrays: DataFrame, low: float = LOW, high: float = HIGH) -> lis
 
 
 def _slots(h) -> list[F.Column]:
-    return [F.pmod(F.shiftright(h, s), F.lit(_BITMAP)).cast("int") for s in (0, 23)]
+    return [F.pmod(F.shiftright(h, s), F.lit(_BITMAP)).cast("int") for s in (0, 20)]
 
 
 def bitmap(members: list[int]) -> bytes:
     out = bytearray(_BITMAP)
     for h in members:
-        for s in (0, 23):
+        for s in (0, 20):
             out[(h >> s) % _BITMAP] = 1
     return bytes(out)
 
