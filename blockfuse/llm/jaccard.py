@@ -13,8 +13,9 @@ the order comes from a fixed-size count sketch that is summed over the shingles
 * Lists of at most ``SMALL`` classes give all their pairs. A longer list (one passage in many
   documents, a large group of near copies) first gives one pair of each member with a hub, which is
   verified; as most members of such lists are thereby in one component, only pairs of members in
-  *different* components remain. A few more hub rounds follow while that number is large, and at last
-  every pair that is left is tried. So no link between components is lost, and no list is expanded
+  *different* components remain. While their number is large, the members outside of a list's largest
+  component are paired with a few of its members (HUBS, drawn anew), and at last every pair that is left
+  is tried. So no link between components is lost, and no list is expanded
   into all its pairs. Very frequent shingles are salted, so that a list spreads over tasks; its parts
   meet again in the later rounds.
 * Candidates are verified on the whole sets, which only those classes send that have a candidate or are
@@ -45,6 +46,8 @@ WORDS, PERCENT = 5, 75
 SKETCH_BITS = 20
 #: Most members of a list that gives all its pairs; most hub rounds; highest prefix level.
 SMALL, ROUNDS, MOST_LEVEL = 8, 3, 8
+#: Members of a list's largest component that the others are paired with in a round.
+HUBS = 8
 #: What verifying a candidate costs, in list entries.
 VERIFY = 4.0
 #: Estimated members of a list beyond which it is salted, and most salts.
@@ -408,9 +411,12 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                     b.append(cb)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    left = sets.select(F.col("cls").alias("a"), F.col("s").alias("sa"))
+    # only sets that a pair names are moved: the pairs come to the sets where they are few
+    known = maybe_broadcast(pairs.select("a", "b"), 40)
+    left = sets.select(F.col("cls").alias("a"), F.col("s").alias("sa")).join(known, "a")
     right = sets.select(F.col("cls").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+    right = right.join(maybe_broadcast(pairs.select("b").distinct(), 40), "b", "left_semi")
+    both = left.join(right, "b").select("a", "b", "sa", "sb")
     return materialize(both.mapInArrow(compare, "a long, b long"), "links")
 
 
@@ -434,9 +440,19 @@ def _settle(member: DataFrame, tried: DataFrame, found: DataFrame, sets: DataFra
             F.col("ell").alias("ea"), F.col("component").alias("ca"),
         )
         y = at
-        if not last:  # a hub for each list, another one each time
-            hub = F.min_by(F.struct("cls", "n", "pos", "ell", "component"), F.xxhash64("cls", F.lit(step)))
-            y = at.groupBy("tok").agg(hub.alias("h")).select("tok", "h.*")
+        if not last:  # hubs are drawn by hashes, so that the lists of a group draw the same ones
+            largest = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
+            largest = largest.agg(F.max_by("component", F.struct("m", "component")).alias("big"))
+            marked = materialize(at.join(largest, "tok"), "marked")
+            row = F.struct("cls", "n", "pos", "ell", "component")
+            drawn = [F.min_by(row, F.xxhash64("cls", F.lit(step * HUBS + k))) for k in range(HUBS)]
+            y = marked.where("component = big").groupBy("tok").agg(F.array_distinct(F.array(*drawn)).alias("h"))
+            y = y.select("tok", F.explode("h").alias("h")).select("tok", "h.*")
+            x = marked.where("component <> big")
+            x = x.select(
+                "tok", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
+                F.col("ell").alias("ea"), F.col("component").alias("ca"),
+            )
         y = y.select(
             "tok", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
             F.col("ell").alias("eb"), F.col("component").alias("cb"),
