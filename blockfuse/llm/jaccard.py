@@ -370,29 +370,38 @@ def candidates(met: DataFrame) -> DataFrame:
     return order(hubs).unionByName(order(short.where("enough"))).unionByName(order(rest)).distinct()
 
 
-def whole_sets(narrow: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Table (cls, s): the whole sets of the wanted classes."""
-    wanted = materialize(wanted.distinct(), "wanted")
+_NO_ID = -(1 << 63)
+
+
+def whole_sets(narrow: DataFrame, table: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """Table (cls, s): the whole sets of the wanted classes, each sent by its document of least id (rows
+    of one class that share this id send it once each, which repeats links but adds none)."""
+    known = F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id")
+    senders = table.select("cls", known).join(wanted.distinct(), "cls", "left_semi")
+    senders = materialize(senders.groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "senders")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
+        def rows():
+            columns = pa.array(docs, pa.int64()), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())
+            return pa.RecordBatch.from_arrays(list(columns), ["doc_id", "cls", "s"])
+
         for batch in batches:
-            ids, sets, waiting = [], [], 0
-            for s in shingle_sets(texts(batch.column("text")), words):
-                if not len(s) or (cls := class_id(s)) in seen:
+            docs, ids, sets, waiting = [], [], [], 0
+            for doc, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts(batch.column("text")), words), strict=True):
+                if not len(s):
                     continue
-                seen.add(cls)
-                ids.append(cls)
+                docs.append(_NO_ID if doc is None else doc)
+                ids.append(class_id(s))
                 sets.append(s.tobytes())
                 waiting += len(sets[-1])
                 if waiting > 16 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["cls", "s"])
-                    ids, sets, waiting = [], [], 0
+                    yield rows()
+                    docs, ids, sets, waiting = [], [], [], 0
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["cls", "s"])
+                yield rows()
 
-    sets = narrow.mapInArrow(send, "cls long, s binary").join(maybe_broadcast(wanted, 40), "cls", "left_semi")
-    return materialize(sets.dropDuplicates(["cls"]), "sets")
+    sets = narrow.mapInArrow(send, "doc_id long, cls long, s binary")
+    return materialize(sets.join(maybe_broadcast(senders, 60), ["cls", "doc_id"], "left_semi").select("cls", "s"), "sets")
 
 
 def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -485,7 +494,7 @@ def links(docs: DataFrame, doc_id: str, text_col: str, words: int = WORDS, perce
     tried = materialize(candidates(met), "tried")
     member = materialize(met.where("kind = 2").select("tok", F.col("a").alias("cls"), "n", "pos", "ell").distinct(), "listed")
     wanted = tried.select(F.col("a").alias("cls")).unionByName(tried.select(F.col("b").alias("cls")))
-    sets = whole_sets(narrow, wanted.unionByName(member.select("cls")), words)
+    sets = whole_sets(narrow, table, wanted.unionByName(member.select("cls")), words)
     found = _settle(member, tried, verified(sets, tried, percent), sets, percent)
     return table.select("doc_id", "n", "cls"), found
 
