@@ -45,7 +45,7 @@ from .graph import components
 WORDS, PERCENT = 5, 75
 SKETCH_BITS = 20
 #: Most members of a list that gives all its pairs; most hub rounds; highest prefix level.
-SMALL, ROUNDS, MOST_LEVEL = 8, 3, 8
+SMALL, ROUNDS, MOST_LEVEL = 8, 5, 8
 #: Members of a list's largest component that the others are paired with in a round.
 HUBS = 8
 #: What verifying a candidate costs, in list entries.
@@ -443,7 +443,7 @@ def _settle(member: DataFrame, tried: DataFrame, found: DataFrame, sets: DataFra
         left, n = sizes.agg(open_.alias("p"), F.sum("m").alias("m")).agg(F.sum("p") / 2, F.sum("m")).first()
         if not n:
             return found
-        last = step == ROUNDS - 1 or left <= 8 * n + 100_000
+        last = step == ROUNDS - 1 or left <= n + 50_000
         x = at.select(
             "tok", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
             F.col("ell").alias("ea"), F.col("component").alias("ca"),
