@@ -1,13 +1,13 @@
 """I-Match fingerprints: terms of middling document frequency, over randomised lexicon subsets.
 
 Lexicon: the terms whose document frequency, over all documents, lies within [``LOW``, ``HIGH``] times the
-number of documents (that is an inverse-document-frequency band). Its size has a bound that does not
-depend on the corpus: each document adds its distinct terms to the sum of frequencies, so there are at
-most ``mean distinct terms / LOW`` such terms; more than ``MOST_TERMS`` raise the lower bound.
+number of documents (that is an inverse-document-frequency band). Each document adds its distinct terms to
+the sum of frequencies, so there are at most ``mean distinct terms / LOW`` of them, however large the corpus;
+more than ``MOST_TERMS`` raise the lower bound.
 
-A document's distinct lexicon terms are sorted (by their 64-bit hash, a fixed order of terms), and
-each of ``LEVELS`` x ``PER_LEVEL`` random subsets of the lexicon gives one signature: the hash of the sorted
-terms that lie in the subset. The subsets of a level take one term in RATES[level] each, so that short
+Each of ``LEVELS`` x ``PER_LEVEL`` random subsets of the lexicon gives one signature of a document: a hash of
+the set of its terms that lie in the subset (the exclusive or of the terms' 64-bit hashes, which needs
+no order). The subsets of a level take one term in RATES[level] each, so that short
 and long texts alike have levels at which a moderate edit leaves some signatures as they were. The
 fingerprint is the sequence of signatures (8 hex digits each; '-' where no term lies in the subset),
 and its last part, a hash of all terms of the text, tells apart texts without lexicon terms.
@@ -15,8 +15,8 @@ and its last part, a hash of all terms of the text, tells apart texts without le
 Likeness of two fingerprints: the share of equal signatures among the subsets in which either has
 terms; for two documents without any, 1 if the hashes of all their terms agree, else 0.
 
-Everything is DataFrame operations. Membership in the lexicon is a look-up in a byte map shipped as a
-literal of 128 KB (two probes; at most one term in sixty is a member by mistake, in all texts alike).
+Everything is DataFrame operations. Membership in the lexicon is exact: the distinct terms of the texts, one row
+each, are joined with the lexicon, which is broadcast up to ``LEXICON_BYTES`` and shuffled beyond.
 
 Defined cases: null and empty texts are ''; their fingerprint is the same for all. Equal texts have
 equal fingerprints. Rows of equal id (or without: last) are put in order by text. Extra columns are
@@ -25,15 +25,15 @@ ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize, small
 
 LOW, HIGH, MOST_TERMS = 0.0005, 0.1, 1 << 13
 RATES, PER_LEVEL = (4, 16, 64, 256), 12
-_BITMAP = 1 << 17
+#: A larger lexicon (of 40 bytes a term) is not broadcast.
+LEXICON_BYTES = 32 << 20
 
 #: Terms: runs of letters, digits and anything beyond ASCII, in lower case.
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -45,54 +45,41 @@ def terms(text) -> F.Column:
     return F.array_remove(F.transform(F.array_distinct(words), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
-def lexicon(term_arrays: DataFrame, low: float = LOW, high: float = HIGH) -> list[int]:
-    """Hashes of the terms within the band, of rows (terms)."""
+def _drawn(rate: int, salt: int) -> F.Column:
+    """Whether a random subset of the lexicon holds the term."""
+    return F.pmod(F.xxhash64("term", F.lit(salt)), F.lit(rate)) == 0
+
+
+def band(term_arrays: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """Hashes (column term) of the terms within the band, of rows (terms)."""
     n = term_arrays.count()
     counts = term_arrays.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     inside = counts.where((F.col("df") >= max(2, low * n)) & (F.col("df") <= max(2, high * n)))
-    inside = inside.orderBy(F.col("df").desc(), "term").limit(MOST_TERMS)
-    return [r[0] for r in inside.select("term").collect()]
-
-
-def _slots(h) -> list[F.Column]:
-    return [F.pmod(F.shiftright(h, s), F.lit(_BITMAP)).cast("int") for s in (0, 20)]
+    return inside.orderBy(F.col("df").desc(), "term").limit(MOST_TERMS).select("term")
 
 
-def bitmap(members: list[int]) -> bytes:
-    out = bytearray(_BITMAP)
-    for h in members:
-        for s in (0, 20):
-            out[(h >> s) % _BITMAP] = 1
-    return bytes(out)
-
-
-def _kept(all_terms, members: bytes) -> F.Column:
-    lit = F.lit(bytearray(members))
-    inside = lambda h: reduce(
-        lambda a, b: a & b, [F.substring(lit, s + F.lit(1), F.lit(1)) == F.lit(bytearray(b"\x01")) for s in _slots(h)]
-    )
-    return F.array_sort(F.filter(all_terms, inside))
+def lexicon(term_arrays: DataFrame, low: float = LOW, high: float = HIGH) -> list[int]:
+    """The band's hashes as a list (to look at; the operators keep them in a table)."""
+    return [r[0] for r in band(term_arrays, low, high).collect()]
 
 
-def _drawn(rate: int, salt: int):
-    """Whether a random subset of the lexicon holds the term."""
-    return lambda h: F.pmod(F.xxhash64(h, F.lit(salt)), F.lit(rate)) == 0
+def members(term_arrays: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """The lexicon as a work table: term, and as bits of ``subsets`` the random subsets that hold it."""
+    bits = [F.when(_drawn(rate, k * PER_LEVEL + j), F.lit(1 << (k * PER_LEVEL + j))).otherwise(F.lit(0)).cast("long") for k, rate in enumerate(RATES) for j in range(PER_LEVEL)]
+    held = materialize(band(term_arrays, low, high), "lexicon")
+    subsets = F.aggregate(F.array(*bits), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    return materialize(held.select(F.col("term").alias("member"), subsets.alias("subsets")), "subsets")
 
 
-def signatures(kept) -> F.Column:
-    """Signatures (null where no term lies in the subset) of the sorted lexicon terms."""
-    out = []
-    for k, rate in enumerate(RATES):
-        for j in range(PER_LEVEL):
-            sub = F.filter(kept, _drawn(rate, k * PER_LEVEL + j))
-            # the hash of an empty array is its seed
-            out.append(F.nullif(F.xxhash64(sub), F.lit(42).cast("long")))
-    return F.transform(F.array(*out), lambda x: F.substring(F.hex(x), -8, 8))
+def signatures() -> list[F.Column]:
+    """Aggregates over a text's rows (term, subsets): the hash of its terms in each subset, 0 without any."""
+    drawn = lambda j: F.col("subsets").bitwiseAND(F.lit(1 << j).cast("long")) != 0
+    return [F.bit_xor(F.when(drawn(j), F.col("term")).otherwise(F.lit(0).cast("long"))).alias(f"__s{j}") for j in range(len(RATES) * PER_LEVEL)]
 
 
-def render(sig, all_terms) -> F.Column:
-    body = F.array_join(F.transform(sig, lambda s: F.coalesce(s, F.lit("-"))), ".")
-    return F.concat(body, F.lit("/"), F.hex(F.xxhash64(F.array_sort(all_terms))))
+def render(whole) -> F.Column:
+    sig = [F.when(F.col(f"__s{j}") == 0, "-").otherwise(F.substring(F.hex(f"__s{j}"), -8, 8)) for j in range(len(RATES) * PER_LEVEL)]
+    return F.concat(F.concat_ws(".", *sig), F.lit("/"), F.hex(whole))
 
 
 def likeness(a, b) -> F.Column:
@@ -105,7 +92,7 @@ def likeness(a, b) -> F.Column:
 
 
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows (id, text) with next_text: the text of the next row in descending order of id (ids first,
+    """Rows (part, id, text) with next_text: the text of the next row in descending order of id (ids first,
     then text in ascending order; rows without id last); after the last comes the first.
 
     Rows are cut by quantiles of the id into ranges; each range's first row is also sent to the range
@@ -126,15 +113,26 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
         sent.select("part", F.lit(None).cast("long").alias("id"), "k", "text", F.lit(1).alias("sent"))
     )
     by = Window.partitionBy("part").orderBy("sent", F.col("k").desc(), "text")
-    return rows.withColumn("next_text", F.lead("text").over(by)).where("sent = 0").select("id", "text", "next_text")
+    return rows.withColumn("next_text", F.lead("text").over(by)).where("sent = 0").select("part", "id", "text", "next_text")
+
 
+def _printed(rows: DataFrame, texts: dict[str, str], lex: DataFrame) -> DataFrame:
+    """``rows`` with the fingerprints of text columns ({text column: fingerprint column}) in place of the texts.
 
-def _printed(rows: DataFrame, text: str, members: bytes, out: str) -> DataFrame:
-    """``rows`` with the fingerprint of a text column; step by step, so that nothing is computed twice."""
-    rows = rows.withColumn("__t", terms(F.col(text)))
-    rows = rows.withColumn("__k", _kept(F.col("__t"), members))
-    rows = rows.withColumn("__s", signatures(F.col("__k")))
-    return rows.withColumn(out, render(F.col("__s"), F.col("__t"))).drop("__t", "__k", "__s")
+    All columns but the terms are keys of the aggregation, so rows that are partitioned by one of them
+    are not shuffled again where the lexicon is broadcast."""
+    keys = [c for c in rows.columns if c not in texts] + ["__row"]
+    rows = rows.withColumn("__row", F.monotonically_increasing_id())
+    one = rows.select(*keys, F.posexplode(F.array(*[terms(F.col(t)) for t in texts])).alias("__which", "__t"))
+    # a step of its own, as beside the generator it would be computed for every term
+    one = one.select(*keys, "__which", F.xxhash64(F.array_sort("__t")).alias("__whole"), "__t")
+    one = one.select(*keys, "__which", "__whole", F.explode_outer("__t").alias("term"))
+    lex = F.broadcast(lex) if small(lex, 40, LEXICON_BYTES) else lex
+    one = one.join(lex, F.col("term") == F.col("member"), "left")
+    one = one.groupBy(*keys, "__which", "__whole").agg(*signatures())
+    one = one.select(*keys, "__which", render(F.col("__whole")).alias("__fp"))
+    found = [F.max(F.when(F.col("__which") == i, F.col("__fp"))).alias(out) for i, out in enumerate(texts.values())]
+    return one.groupBy(*keys).agg(*found).drop("__row")
 
 
 def _clean(docs: DataFrame, doc_id: str, text_col: str) -> DataFrame:
@@ -147,8 +145,8 @@ def fingerprints(
 ) -> DataFrame:
     """One row per document: doc_id, fingerprint."""
     rows = _clean(docs, doc_id, text_col)
-    members = bitmap(lexicon(rows.select(terms(F.col("text")).alias("terms")), low, high))
-    return _printed(rows, "text", members, "fingerprint").select(F.col("id").alias("doc_id"), "fingerprint")
+    lex = members(rows.select(terms(F.col("text")).alias("terms")), low, high)
+    return _printed(rows, {"text": "fingerprint"}, lex).select(F.col("id").alias("doc_id"), "fingerprint")
 
 
 def edited_study(
@@ -158,20 +156,14 @@ def edited_study(
     next document's text), and how alike they are: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next."""
     rows = _clean(docs, doc_id, text_col)
-    members = bitmap(lexicon(rows.select(terms(F.col("text")).alias("terms")), low, high))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _printed(rows, "text", members, "fp")
-    # the window carries the fingerprint along with the text
-    packed = rows.select("id", F.concat("fp", F.lit("|"), "text").alias("text"))
-    paired = with_next(packed, parts)
-    split = lambda c: (F.substring_index(c, "|", 1), F.substr(F.col(c), F.instr(F.col(c), F.lit("|")) + 1))
-    (fp, body), (next_fp, next_body) = split("text"), split("next_text")
-    paired = paired.select("id", fp.alias("fingerprint"), body.alias("text"), next_fp.alias("next_fp"), next_body.alias("next_text"))
+    lex = members(rows.select(terms(F.col("text")).alias("terms")), low, high)
+    paired = with_next(rows, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    paired = paired.select("id", n.cast("long").alias("n_chars"), "fingerprint", "next_fp", edited.alias("edited"))
-    out = _printed(paired.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", members, "edited_fingerprint")
+    paired = paired.select("part", "id", n.cast("long").alias("n_chars"), "text", "next_text", edited.alias("edited"))
+    paired = paired.withColumn("edited_sha256", F.sha2("edited", 256))
+    out = _printed(paired, {"text": "fingerprint", "next_text": "next_fp", "edited": "edited_fingerprint"}, lex)
     return out.select(
         F.col("id").alias("doc_id"),
         "n_chars",

@@ -48,3 +48,22 @@ def test_empty_and_single(spark):
     assert r.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
     twins = fp.edited_study(spark.createDataFrame([(1, "abc"), (1, "abc"), (None, "xyz")], "doc_id long, text string")).collect()
     assert len(twins) == 3
+
+
+def bodies(df, **more):
+    return {r.doc_id: r.fingerprint.split("/")[0] for r in fp.fingerprints(df, **more).collect()}
+
+
+def test_only_terms_of_the_band_enter_signatures(spark):
+    shared = " ".join(f"s{i}" for i in range(6000))
+    rows = [(i, shared + "".join(f" own{i}x{j}" for j in range(2000))) for i in range(4)] + [(i, f"other{i}") for i in range(4, 8)]
+    got = bodies(spark.createDataFrame(rows, "doc_id long, text string"), high=0.5)
+    assert len({got[i] for i in range(4)}) == 1 and set(got[0]) != set("-.")
+    assert all(set(got[i]) == set("-.") for i in range(4, 8))
+
+
+def test_a_lexicon_too_large_to_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(), "doc_id long, text string")
+    want = sorted(map(tuple, fp.edited_study(df, low=0.0, high=0.5).collect()), key=str)
+    monkeypatch.setattr(fp, "LEXICON_BYTES", 0)
+    assert sorted(map(tuple, fp.edited_study(df, low=0.0, high=0.5).collect()), key=str) == want
