@@ -2,8 +2,8 @@
 
 Lexicon: the terms whose document frequency, over all documents, lies within [``LOW``, ``HIGH``] times the
 number of documents (that is an inverse-document-frequency band). Each document adds its distinct terms to
-the sum of frequencies, so there are at most ``mean distinct terms / LOW`` of them, however large the corpus;
-more than ``MOST_TERMS`` raise the lower bound.
+the sum of frequencies, so there are at most ``mean distinct terms / LOW`` of them, however large the corpus.
+All of them are kept.
 
 Each of ``LEVELS`` x ``PER_LEVEL`` random subsets of the lexicon gives one signature of a document: a hash of
 the set of its terms that lie in the subset (the exclusive or of the terms' 64-bit hashes, which needs
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, small
 
-LOW, HIGH, MOST_TERMS = 0.0005, 0.1, 1 << 13
+LOW, HIGH = 0.0005, 0.1
 RATES, PER_LEVEL = (4, 16, 64, 256), 12
 #: A larger lexicon (of 40 bytes a term) is not broadcast.
 LEXICON_BYTES = 32 << 20
@@ -54,8 +54,7 @@ def band(term_arrays: DataFrame, low: float = LOW, high: float = HIGH) -> DataFr
     """Hashes (column term) of the terms within the band, of rows (terms)."""
     n = term_arrays.count()
     counts = term_arrays.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    inside = counts.where((F.col("df") >= max(2, low * n)) & (F.col("df") <= max(2, high * n)))
-    return inside.orderBy(F.col("df").desc(), "term").limit(MOST_TERMS).select("term")
+    return counts.where((F.col("df") >= max(2, low * n)) & (F.col("df") <= max(2, high * n))).select("term")
 
 
 def lexicon(term_arrays: DataFrame, low: float = LOW, high: float = HIGH) -> list[int]:

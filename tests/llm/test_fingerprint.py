@@ -67,3 +67,9 @@ def test_a_lexicon_too_large_to_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, fp.edited_study(df, low=0.0, high=0.5).collect()), key=str)
     monkeypatch.setattr(fp, "LEXICON_BYTES", 0)
     assert sorted(map(tuple, fp.edited_study(df, low=0.0, high=0.5).collect()), key=str) == want
+
+
+def test_every_term_of_the_band_is_kept(spark):
+    rows = [(i, " ".join(f"t{j}" for j in range(i // 2 * 3000, i // 2 * 3000 + 3000))) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(fp.lexicon(df.select(fp.terms(df.text).alias("terms")), high=0.5)) == 12000
