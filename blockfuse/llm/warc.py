@@ -175,6 +175,15 @@ def write_archives(
     return materialize(rows.select("k", "url", "html", "again").mapInArrow(write, _ARCHIVE), "archives")
 
 
+def _escaped(key: str) -> str:
+    """A key on one line; '%' too is escaped, so that a '%0A' of the URL itself comes back as it was."""
+    return key.replace("%", "%25").replace("\n", "%0A")
+
+
+def _unescaped(key: str) -> str:
+    return key.replace("%0A", "\n").replace("%25", "%")
+
+
 def build_index(archives: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(blocks, directory): blocks (block, first, last, n, data) of sorted entry lines, and the sparse
     directory (first, last, block), both in the shared folder."""
@@ -187,7 +196,7 @@ def build_index(archives: DataFrame, block: int = BLOCK) -> tuple[DataFrame, Dat
         serial, held = TaskContext.get().partitionId() << 32, []
 
         def flush():
-            text = "\n".join(f"{k.replace(chr(10), '%0A')}\t{a}\t{o}\t{n}" for k, a, o, n in held)
+            text = "\n".join(f"{_escaped(k)}\t{a}\t{o}\t{n}" for k, a, o, n in held)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([serial], pa.int64()),
@@ -217,7 +226,7 @@ def _entries(data: bytes) -> list[tuple]:
     out = []
     for line in zlib.decompress(data).decode().split("\n"):
         key, archive, offset, length = line.rsplit("\t", 3)
-        out.append((key.replace("%0A", "\n"), archive, int(offset), int(length)))
+        out.append((_unescaped(key), archive, int(offset), int(length)))
     return out
 
 

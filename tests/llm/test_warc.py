@@ -66,3 +66,9 @@ def test_exported_files(spark, tmp_path):
 def test_keys_and_empty(spark):
     assert warc.url_key("http://a.B.org/x?y") == "org,b,a)/x?y" and warc.url_key(None) == ")"
     assert run(spark, []) == []
+
+
+def test_percent_encoded_newlines(spark):
+    urls = ["http://a.b/x%0Ay", "http://a.b/x\ny", "http://a.b/x%250Ay", "http://a.b/x%25", "http://a.b/x"]
+    rows = [(i, u, f"page {i}") for i, u in enumerate(urls)]
+    assert run(spark, rows) == brute(rows)
