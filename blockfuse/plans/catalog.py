@@ -304,6 +304,16 @@ def confidence_singleton(spark, d) -> DataFrame:
     return consensus.merge(df).select("c_custkey", F.col("merged.confidence").alias("confidence"))
 
 
+@query(f"""select c_custkey, cast(25 + 10 + case when lat < -90 or lat > 90 or lon < -180 or lon > 180 or (abs(lat) < 0.01 and abs(lon) < 0.01)
+    then 0 else 5 end as int) as confidence from {src.POINTS_SQL}""")
+def confidence_single_opinion(spark, d) -> DataFrame:
+    """confidence_singleton over all customers: coordinates out of range or at null island are cleared."""
+    none = F.lit("")
+    c = consensus.candidate("dbip", F.lit("XX"), none, F.lit("Springfield"), none, none, F.col("lat"), F.col("lon"), F.lit(True))
+    df = src.points(spark, d).select("c_custkey", F.lit("XX").alias("country"), F.array(c).alias("candidates"))
+    return consensus.merge(df).select("c_custkey", F.col("merged.confidence").alias("confidence"))
+
+
 _GRAPH_SQL = """(select c_custkey, c_custkey % 2 = 0 as ab, c_custkey % 3 = 0 as bc, c_custkey % 5 = 0 as ac from customer)"""
 
 

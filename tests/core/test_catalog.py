@@ -42,3 +42,9 @@ def test_release_has_its_columns(spark):
 
     df = catalog.queries()["release_build"](spark, SF)
     assert tuple(df.columns) == build.COLUMNS and df.count() > 0
+
+
+def test_single_opinions_of_all_customers(spark):
+    got = catalog.queries()["confidence_single_opinion"](spark, SF).collect()
+    assert len(got) == spark.read.parquet(f"{SF}/customer.parquet").count()
+    assert {r.confidence for r in got} == {35, 40}
