@@ -35,14 +35,29 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, survives
-    the loss of executors, and keeps column pruning for later readers."""
+def materialize(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) in the shared folder and read it back: cuts the
+    lineage, survives the loss of executors, and keeps column pruning for later readers."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/blockfuse-work/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**(options or {})).parquet(path)
     _work[path] = (spark, _scope[-1])
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete work tables (as ``materialize`` returned them) whose last reader has run."""
+    for df in tables:
+        spark, _ = _work.pop(df._work_path)
+        _delete(spark, df._work_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session has ended
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @contextlib.contextmanager
@@ -60,11 +75,7 @@ def release(spark: SparkSession, scope: str | None = None) -> None:
     still to be computed (the pipeline does so once a stage's output has been written)."""
     for path in [p for p, (s, at) in _work.items() if s is spark and scope in (None, at)]:
         del _work[path]
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session has ended
-            pass
+        _delete(spark, path)
 
 
 @atexit.register
@@ -73,6 +84,20 @@ def _at_exit() -> None:
         release(spark)
 
 
+def with_row_numbers(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column of distinct longs that stay the same whenever it is read: file and place in the
+    file where it is a scan of Parquet files; else it is written with numbers."""
+    spark = docs.sparkSession
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    files = sorted(r[0] for r in docs.select(at[0].alias("f")).distinct().collect())  # one row a file
+    number = spark.createDataFrame([(f, k << 40) for k, f in enumerate(files)], "__f string, __n long")
+    out = docs.select("*", at[0].alias("__file"), at[1].alias("__at"))
+    out = out.join(maybe_broadcast(number, 200), F.col("__file") == F.col("__f"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col("__n") + F.col("__at")).alias(name))
+
+
 def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` (cheap to count: a work table) may be broadcast."""
     return df.count() * row_bytes <= limit
@@ -83,6 +108,33 @@ def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if small(df, row_bytes) else df
 
 
+#: Bytes of text that a fitting sample may bring to the driver.
+SAMPLE_BYTES = 64 << 20
+
+
+def sampled(rows: DataFrame, text: str, n: int, most_bytes: int = SAMPLE_BYTES, label: str | None = None) -> list:
+    """Rows to fit a model on, on the driver: one for each distinct text, in order of the texts' hashes, at most
+    ``n`` and with texts of at most ``most_bytes`` in all (a text that no longer fits is passed over). With a
+    ``label`` (0 or 1; a text has its largest) that is for each of the two."""
+    hashed = rows.where(F.col(text).isNotNull()).withColumn("__h", F.xxhash64(text))
+    mark = F.lit(0) if label is None else F.coalesce(F.max(label), F.lit(0))
+    sizes = hashed.groupBy("__h").agg(F.max(F.octet_length(text)).alias("size"), mark.cast("int").alias("__y"))
+    chosen = []
+    for y in (0,) if label is None else (0, 1):
+        left = most_bytes
+        for h, size, _ in sizes.where(F.col("__y") == y).orderBy("__h").limit(n).collect():  # n rows of numbers
+            if size <= left:
+                chosen.append((h, y))
+                left -= size
+    if not chosen:
+        return []
+    chosen = rows.sparkSession.createDataFrame(chosen, "__h long, __y int")
+    found = hashed.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).orderBy("__h")
+    if label is not None:
+        found = found.withColumn(label, F.col("__y"))
+    return found.drop("__h", "__y").collect()
+
+
 def texts(column: pa.Array) -> Iterator[bytes | None]:
     """UTF-8 bytes of each row of a string column, one at a time (None for null)."""
     if isinstance(column, pa.ChunkedArray):
