@@ -192,30 +192,42 @@ class _Segment:
                     have[u] -= 1
                     missing += have[u] < need[u]
                     left += 1
-        spans = sorted(out)
-        minimal = [s for s in spans if not any(o != s and s[0] <= o[0] and o[1] <= s[1] for o in spans)]
+        # a span is minimal if none that begins at or after it ends at or before its end
+        minimal, least = [], np.inf
+        for s in sorted(out, key=lambda x: (-x[0], x[1])):
+            if s[1] < least:
+                minimal.append(s)
+                least = s[1]
+        minimal.reverse()
         return np.array(minimal, np.int64).reshape(-1, 2)
 
 
 def windows_of(text: bytes | None, window: int = WINDOW) -> list[tuple[bytes, ...]]:
     """Each run of ``window`` words; of fewer words, but not none, all of them."""
+    return list(_windows(text, window))
+
+
+def _windows(text: bytes | None, window: int) -> Iterator[tuple[bytes, ...]]:
     found = words(text)
-    if not found:
-        return []
-    return [tuple(found[k : k + window]) for k in range(max(1, len(found) - window + 1))]
+    if found:
+        yield from (tuple(found[k : k + window]) for k in range(max(1, len(found) - window + 1)))
 
 
 def _query_blocks(items: DataFrame, id_col: str, text_col: str, window: int, block: int):
-    """Blocks of at most ``block`` windows (an item's own windows stay together), read one item at a
-    time: (terms, windows as term numbers, item ids, tells apart items of equal id)."""
+    """Blocks of at most ``block`` distinct windows, read one item at a time (an item of more windows goes on in
+    the next block): (terms, windows as term numbers, item ids)."""
     terms, rows, ids = _Terms(), [], []
     for row in items.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).toLocalIterator():
-        found = list(dict.fromkeys(windows_of(row[1].encode() if row[1] is not None else None, window)))
-        if rows and len(rows) + len(found) > block:
-            yield list(terms), rows, ids
-            terms, rows, ids = _Terms(), [], []
-        rows += [np.fromiter(map(terms.__getitem__, w), np.int32, len(w)) for w in found]
-        ids += [row[0]] * len(found)
+        seen: set = set()  # of this item in this block
+        for w in _windows(row[1].encode() if row[1] is not None else None, window):
+            if w in seen:
+                continue
+            if len(rows) >= block:
+                yield list(terms), rows, ids
+                terms, rows, ids, seen = _Terms(), [], [], set()
+            seen.add(w)
+            rows.append(np.fromiter(map(terms.__getitem__, w), np.int32, len(w)))
+            ids.append(row[0])
     if rows:
         yield list(terms), rows, ids
 

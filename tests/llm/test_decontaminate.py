@@ -52,9 +52,34 @@ def test_small_segments_and_query_blocks(spark, monkeypatch):
     index = dc.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), "doc_id", "text", 100)
     assert index.count() > 10
     bench = spark.createDataFrame(items, "item_id long, text string")
-    one = dc.matches(index, bench, "item_id", "text").selectExpr("seg", "ord", "item_id", "explode(spans) s")
-    many = dc.matches(index, bench, "item_id", "text", block_windows=5).selectExpr("seg", "ord", "item_id", "explode(spans) s")
-    assert {tuple(map(str, r)) for r in many.collect()} >= {tuple(map(str, r)) for r in one.where("item_id <> 2").collect()}
+    def hit(**more):
+        rows = dc.matches(index, bench, "item_id", "text", **more).selectExpr("seg", "ord", "item_id", "explode(spans) s").collect()
+        return {(r.seg, r.ord, r.item_id, k) for r in rows for k in range(r.s.s, r.s.e)}
+
+    assert hit(block_windows=5) == hit() != set()
+    monkeypatch.setattr(dc, "BLOCK_WINDOWS", 3)  # items go on in the next block
+    assert run(spark, docs, items) == brute(docs, items)
+
+
+def test_minimal_spans_equal_the_plain_rule(spark):
+    rnd = random.Random(3)
+    docs = [(k, " ".join(rnd.choices("abcd", k=30))) for k in range(20)]
+    index = dc.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), "doc_id", "text")
+    items = spark.createDataFrame([(9, "a b a")], "item_id long, text string")
+    got = {(docs[r.ord][0], s.s, s.e) for r in dc.matches(index, items, "item_id", "text", slop=3).collect() for s in r.spans}
+    want = set()
+    for d, t in docs:
+        w = t.split()
+        spans = [(i, j) for i in range(30) for j in range(i + 3, min(30, i + 6) + 1) if w[i:j].count("a") >= 2 and w[i:j].count("b") >= 1]
+        least = [x for x in spans if not any(y != x and x[0] <= y[0] and y[1] <= x[1] for y in spans)]
+        merged = []
+        for x, y in sorted(least):
+            if merged and x <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(y, merged[-1][1]))
+            else:
+                merged.append((x, y))
+        want |= {(d, x, y) for x, y in merged}
+    assert got == want
 
 
 def test_proximity_in_any_order(spark):
