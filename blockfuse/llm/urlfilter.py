@@ -10,7 +10,7 @@ entropy, numbers of parameters, of hyphens and of host labels, length of the hos
 and of the last path segment, and for the host's last one and two labels the logarithm of their rows
 and their smoothed share of blocked rows. Shares leave out the row's own label, so that training sees
 what scoring sees. Statistics are grouped aggregations over all rows and joined by key; the trees are
-fitted on at most about ``SAMPLE`` labelled rows chosen by a hash of the URL.
+fitted on at most ``SAMPLE`` distinct labelled URLs, those of the least hashes, weighted by their rows.
 
 Defined cases: without labelled rows of both kinds, what no rule decides gets the only label (allow if
 there is none). Repeated rows get equal verdicts. Extra columns are ignored; an empty table gives no
@@ -125,10 +125,14 @@ def train(rows: DataFrame, sample: int = SAMPLE):
     n, low, high = known.agg(F.count("*"), F.min("label"), F.max("label")).first()
     if not n or low == high:
         return low or 0.0
-    if n > sample:
-        known = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < F.lit(int((1 << 30) * sample / n)))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(known.select("label", *FEATURES))
-    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, maxBins=32).fit(vectors)
+    if n > sample:  # the distinct URLs of the least hashes, each with the number of its rows as weight
+        hashed = known.withColumn("h", F.xxhash64("url"))
+        chosen = hashed.groupBy("h").agg(F.count("*").cast("double").alias("w")).orderBy("h").limit(sample)
+        known = hashed.join(F.broadcast(materialize(chosen, "chosen")), "h").dropDuplicates(["h"])
+    else:
+        known = known.withColumn("w", F.lit(1.0))
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(known.select("label", "w", *FEATURES))
+    return GBTClassifier(weightCol="w", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, maxBins=32).fit(vectors)
 
 
 def classify(
