@@ -19,8 +19,8 @@ Everything is DataFrame operations. Membership in the lexicon is exact: the dist
 each, are joined with the lexicon, which is broadcast up to ``LEXICON_BYTES`` and shuffled beyond.
 
 Defined cases: null and empty texts are ''; their fingerprint is the same for all. Equal texts have
-equal fingerprints. Rows of equal id (or without: last) are put in order by text. Extra columns are
-ignored.
+equal fingerprints. Rows of equal id are put in order by text; rows without id come last, by a hash of
+the text. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,21 +90,33 @@ def likeness(a, b) -> F.Column:
     return F.when(F.size(used) > 0, same / F.size(used)).otherwise(whole)
 
 
-def with_next(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows (part, id, text) with next_text: the text of the next row in descending order of id (ids first,
-    then text in ascending order; rows without id last); after the last comes the first.
+#: Bytes of text in a range of ids on average, and most ranges.
+RANGE_BYTES, MOST_RANGES = 64 << 20, 4096
 
-    Rows are cut by quantiles of the id into ranges; each range's first row is also sent to the range
-    before it, so that a window within the ranges finds every next row."""
-    docs = docs.withColumn("k", F.coalesce("id", F.lit(-(1 << 63))))
-    cuts = docs.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else []
+
+def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Rows (part, id, text) with next_text: the text of the next row in descending order of id (rows of equal id
+    by text); rows without id follow, in order of a hash of the text; after the last comes the first.
+
+    Rows are cut by quantiles of the id into ranges, as many as the texts' bytes ask for (rows without id by
+    their hash); each range's first row is also sent to the range before it, so that a window within the
+    ranges finds every next row."""
+    size = lambda none: F.coalesce(F.sum(F.when(F.col("id").isNull() == F.lit(none), F.octet_length("text"))), F.lit(0))
+    named, unnamed = docs.agg(size(False), size(True)).first()
+    parts = min(MOST_RANGES, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), named // range_bytes))
+    spread = min(MOST_RANGES, 1 + unnamed // range_bytes)
+    cuts = docs.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)], 4 * parts)).first()[0] if parts > 1 else []
     cuts = sorted(set(cuts or []))
-    # range 0 holds the largest ids
-    ranged = docs.withColumn("part", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<long>"), lambda c: c >= F.col("k"))))
+    # range 0 holds the largest ids; rows without id come behind, by their hash
+    by_id = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<long>"), lambda c: c >= F.col("id")))
+    by_hash = len(cuts) + 1 + F.floor((F.xxhash64("text").cast("double") / float(1 << 64) + 0.5) * spread)
+    by_hash = F.least(by_hash, F.lit(len(cuts) + spread))
+    ranged = docs.withColumn("part", F.when(F.col("id").isNull(), by_hash).otherwise(by_id).cast("int"))
+    ranged = ranged.withColumn("k", F.when(F.col("id").isNull(), -F.xxhash64("text").cast("decimal(20,0)")).otherwise(F.col("id").cast("decimal(20,0)")))
     first = ranged.groupBy("part").agg(F.max("k").alias("k")).withColumnRenamed("part", "p")
     firsts = ranged.join(F.broadcast(first.select(F.col("p").alias("fp"), F.col("k").alias("fk"))), (F.col("part") == F.col("fp")) & (F.col("k") == F.col("fk")), "left_semi")
     firsts = firsts.groupBy("part").agg(F.max("k").alias("k"), F.min("text").alias("text"))
-    order = Window.orderBy("part")
+    order = Window.orderBy("part")  # one row a range
     sent = firsts.select(
         F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy(F.lit(1)))).alias("part"), "k", "text"
     )
@@ -156,7 +168,7 @@ def edited_study(
     edited_fingerprint, near_edited, near_next."""
     rows = _clean(docs, doc_id, text_col)
     lex = members(rows.select(terms(F.col("text")).alias("terms")), low, high)
-    paired = with_next(rows, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    paired = with_next(rows)
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))

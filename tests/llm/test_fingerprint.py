@@ -73,3 +73,41 @@ def test_every_term_of_the_band_is_kept(spark):
     rows = [(i, " ".join(f"t{j}" for j in range(i // 2 * 3000, i // 2 * 3000 + 3000))) for i in range(8)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert len(fp.lexicon(df.select(fp.terms(df.text).alias("terms")), high=0.5)) == 12000
+
+
+def test_next_rows_over_many_ranges_with_ties_and_without_ids(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.randint(0, 60), "".join(rnd.choices("abc", k=rnd.randint(0, 30)))) for _ in range(120)]
+    rows += [(None, f"none {i}" * rnd.randint(1, 9)) for i in range(40)] + [(7, "same")] * 3
+    df = spark.createDataFrame(rows, "id long, text string")
+    hashes = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) h").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] if r[0] is not None else "", hashes[r[1]]))
+    want = sorted(zip(order, order[1:] + order[:1]), key=str)
+    for size in (40, 1 << 30):
+        got = [((r.id, r.text), r.next_text) for r in fp.with_next(df, size).collect()]
+        assert sorted(map(str, got)) == sorted(str((a, b[1])) for a, b in want)
+
+
+def test_signatures_equal_plain_python(spark):
+    import xxhash
+
+    rows = [(i, t or "") for i, t in corpus()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    low, high = 0.02, 0.3
+    member = {r.member: r.subsets for r in fp.members(df.select(fp.terms(df.text).alias("terms")), low, high).collect()}
+    long = lambda w: int.from_bytes(xxhash.xxh64(w.encode(), seed=42).digest(), "big", signed=True)
+    sets = {i: {long(w) for w in t.lower().split()} for i, t in rows}
+    seen = [h for s in sets.values() for h in s]
+    assert set(member) == {h for h in set(seen) if max(2, low * len(rows)) <= seen.count(h) <= max(2, high * len(rows))}
+    drawn = [sum(1 for b in member.values() if b >> (k * fp.PER_LEVEL) & (1 << fp.PER_LEVEL) - 1) for k in range(len(fp.RATES))]
+    assert all(a >= b for a, b in zip(drawn, drawn[1:]))
+    got = bodies(df, low=low, high=high)
+    for i, s in sets.items():
+        want = []
+        for j in range(len(fp.RATES) * fp.PER_LEVEL):
+            x = 0
+            for h in s:
+                if member.get(h, 0) >> j & 1:
+                    x ^= h & (1 << 64) - 1
+            want.append(f"{x:016X}"[-8:] if x else "-")
+        assert got[i] == ".".join(want)
