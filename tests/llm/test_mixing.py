@@ -59,7 +59,51 @@ def test_reruns_agree_and_queue_order(spark):
 
 
 def test_empty_table(spark):
-    assert mixing.mix(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+    empty = spark.createDataFrame([], "doc_id long, text string, source string")
+    assert mixing.mix(empty).count() == 0 and mixing.mix_rows(empty).count() == 0
+
+
+def queued(rows, seed=mixing.SEED, times=2):
+    """What the queue takes of (doc_id, text, source), by sorting all copies."""
+    import hashlib
+
+    md5 = lambda x: hashlib.md5(x.encode()).digest()
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    goal, copies = filled(sizes), []
+    for source in sizes:
+        mine = [(md5(("" if d is None else str(d)) + ":" + seed), len((t or "").split()), md5(t or ""), k) for k, (d, t, s) in enumerate(rows) if s == source]
+        for *key, k in mine:
+            upto = sum(m[1] for m in mine if list(m[:3]) <= key)
+            copies += [((upto + e * sizes[source]) / goal[source], key[1], k) for e in range(times) if key[1] and goal[source] > 0]
+    taken, left, copies = {}, sum(goal.values()), sorted(copies)
+    while copies:
+        group = [c for c in copies if c[0] == copies[0][0]]
+        left -= sum(c[1] for c in group)
+        if left < 0:
+            break
+        for _, size, k in group:
+            taken[k] = taken.get(k, 0) + size
+        copies = copies[len(group) :]
+    return [(d, len((t or "").split()), sizes[s], round(float(goal[s]), 6), taken.get(k, 0)) for k, (d, t, s) in enumerate(rows)]
+
+
+def test_equals_the_queue_in_memory(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_ROWS", 16)
+    monkeypatch.setattr(mixing, "_SLICES", 8)
+    rows = corpus(7, 150)
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert sorted(map(str, ((r[0], r[1], r[2], round(r[3], 6), r[4]) for r in got.collect()))) == sorted(map(str, queued(rows)))
+
+
+def test_rows_in_place_with_one_id_without_id_and_clashing_columns(spark):
+    rows = [(1, "w " * 3, "a"), (1, "w " * 400, "a"), (None, "p q r", "c"), (None, "x " * 50, "c"), (2, None, None), (3, "long " * 200_000, "b")]
+    wide = [(*r, 7.5, "keep") for r in rows]
+    out = mixing.mix_rows(spark.createDataFrame(wide, "doc_id long, text string, source string, size double, key string"))
+    assert out.columns == ["doc_id", "text", "source", "key", "size", "source_size", "target", "taken"]
+    got = [(r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in out.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, queued(rows)))
 
 
 def test_word_count(spark):
