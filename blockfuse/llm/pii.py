@@ -8,14 +8,15 @@ tokens that hold a digit or an '@':
   digits, its marks of punctuation, and the words before and after it;
 * chain edges between tokens that follow each other, so that a number written in pieces is one span;
 * skip edges between distant tokens of one document with equal or similar text (the same letters and
-  digits, or the same last seven digits): they share a potential that favours equal labels, so that an
+  digits, or the same last seven digits, also of a number written in pieces): they share a potential that favours equal labels, so that an
   entity which is plain in one place is found where it is written otherwise;
 * loopy belief propagation with a bounded number of sweeps gives marginals; a token joins a kind at
   a marginal of at least ``SURE``, adjoining tokens of a kind are one span. Spans that touch a base
-  span are not added. Tokens that a base span covers are observed: their label is given.
+  span, or lack what their kind cannot be without (``plausible``), are not added. Tokens that a base span covers are observed: their label is given.
 
 Training is piecewise: node weights by multinomial logistic regression, chain and skip potentials from
-smoothed counts of label pairs, on a bounded sample of documents labelled by the base patterns. Shape
+smoothed counts of label pairs, on a bounded sample of documents labelled by the base patterns, and by
+the skip edges: what is like a found entity is labelled as that entity written otherwise. Shape
 features of a training token are left out at random, so that context counts as well.
 
 Offsets are code points, end exclusive. Defined cases: null and empty texts have no spans; repeated rows
@@ -27,15 +28,17 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, deque
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import sampled, texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -51,6 +54,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _CUE = re.compile(r"[0-9@]")
 _PIECE = re.compile(r"[0-9@]\S*")
+_NUMBER = re.compile(r"[0-9]+")
 _TRIM = "\"'`.,;:!?()[]{}<>|*"
 
 
@@ -135,13 +139,16 @@ def features(text: str, first: int, end: int) -> tuple[list[str], list[str]]:
     return own, context
 
 
-def _alike(token: str) -> list[str]:
-    """Keys under which like tokens meet."""
+def _digits(text: str) -> str:
+    return "".join(_NUMBER.findall(text))
+
+
+def _alike(token: str, run: str) -> list[str]:
+    """Keys under which like tokens meet; ``run``: the digits of the token and of those that it continues."""
     plain = "".join(c for c in token.lower() if c.isalnum() or c == "@")
-    digits = "".join(c for c in token if c.isdigit())
     keys = ["t" + plain] if len(plain) >= 5 else []
-    if len(digits) >= 7:
-        keys.append("d" + digits[-7:])
+    if len(run) >= 7:
+        keys.append("d" + run[-7:])
     return keys
 
 
@@ -163,14 +170,15 @@ def graph(text: str, tokens: list[tuple[int, int]]) -> tuple[list[tuple[int, int
         for i in range(len(tokens) - 1)
         if tokens[i + 1][0] - tokens[i][1] <= 3 and not text[tokens[i][1] : tokens[i + 1][0]].strip(_TRIM + " \t")
     ]
-    seen: dict[str, list[int]] = {}
-    skip = set()
+    seen: dict[str, deque] = {}
+    skip, chained, run = set(), {j for _, j in chain}, ""
     for i, (s, e) in enumerate(tokens):
-        for key in _alike(text[s:e]):
-            for j in seen.get(key, ())[-SKIPS:]:
-                if j < i - 1 or (j, i) not in chain:
-                    skip.add((j, i))
-            seen.setdefault(key, []).append(i)
+        # a number written in pieces is like the same one in other pieces where its last piece ends
+        run = (run[-6:] if i in chained else "") + _digits(text[s:e])
+        for key in _alike(text[s:e], run):
+            last = seen.setdefault(key, deque(maxlen=SKIPS))
+            skip.update((j, i) for j in last if j < i - 1 or i not in chained)
+            last.append(i)
     return chain, sorted(skip)
 
 
@@ -206,12 +214,47 @@ def marginals(field: Field, node: np.ndarray, chain, skip, given: dict[int, int]
 
 
 def _observed(tokens: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> dict[int, int]:
-    """Labels of the tokens that base spans cover or touch."""
-    out, k = {}, 0
+    """Labels of the tokens that base spans cover or touch; the first of several spans counts."""
+    out, ends = {}, [e for _, e in tokens]
     for s, e, kind in base:
-        for i, (a, b) in enumerate(tokens):
-            if a < e and s < b and i not in out:
-                out[i] = kind + 1
+        i = bisect_right(ends, s)  # the first token that ends behind the span's start
+        while i < len(tokens) and tokens[i][0] < e:
+            out.setdefault(i, kind + 1)
+            i += 1
+    return out
+
+
+def plausible(span: str, kind: int) -> bool:
+    """Whether a span has what its kind cannot be without, however it is written: '@' within an email, four
+    numbers up to 255 in an ip, 12 to 19 digits in a card, 9 to 15 in a phone."""
+    if kind == 0:
+        return "@" in span[1:-1]
+    numbers = _NUMBER.findall(span)
+    if kind == 1:
+        return len(numbers) == 4 and all(len(n.lstrip("0")) <= 3 and int(n) <= 255 for n in numbers)
+    digits = sum(map(len, numbers))
+    return 12 <= digits <= 19 if kind == 2 else 9 <= digits <= 15
+
+
+def _carried(text: str, tokens, given: dict[int, int], chain, skip, base) -> dict[int, int]:
+    """``given`` carried along the skip edges: a token like one of an entity is taken for the same entity written
+    otherwise, with the pieces before it that the entity's digits end with."""
+    out, ends = dict(given), [e for _, e, _ in base]
+    whole = {}
+    for i in given:
+        k = bisect_right(ends, tokens[i][0])
+        whole[i] = _digits(text[base[k][0] : base[k][1]]) if k < len(base) else ""
+    chained = {j for _, j in chain}
+    for edges in (skip, skip[::-1]):
+        for pair in edges:
+            for j, i in (pair, pair[::-1]):
+                if j not in out or i in out:
+                    continue
+                out[i], whole[i] = out[j], whole[j]
+                at, run = i, _digits(text[slice(*tokens[i])])
+                while at in chained and at - 1 not in out and (piece := _digits(text[slice(*tokens[at - 1])])) and whole[i].endswith(piece + run):
+                    at, run = at - 1, piece + run
+                    out[at], whole[at] = out[i], whole[i]
     return out
 
 
@@ -221,8 +264,9 @@ def train(sample: list[str], seed: int = 5, rounds: int = 120) -> Field | None:
     rows, labels, chains, skips = [], [], Counter(), Counter()
     for text in sample:
         tokens = cue_tokens(text)
-        given = _observed(tokens, base_spans(text))
+        base = base_spans(text)
         chain, skip = graph(text, tokens)
+        given = _carried(text, tokens, _observed(tokens, base), chain, skip, base)
         for i, (s, e) in enumerate(tokens):
             own, context = features(text, s, e)
             rows.append([f for f in own if rnd.random() > 0.2] + context)
@@ -286,7 +330,9 @@ def added_spans(text: str, field: Field | None, base: list[tuple[int, int, int]]
         else:
             out.append((s, e, kind - 1))
         last = (i, kind)
-    return [x for x in out if not any(x[0] < b[1] and b[0] < x[1] for b in base)]
+    starts, reach = [b[0] for b in base], list(accumulate((b[1] for b in base), max))
+    touches = lambda s, e: (k := bisect_left(starts, e)) and reach[k - 1] > s
+    return [x for x in out if plausible(text[x[0] : x[1]], x[2]) and not touches(x[0], x[1])]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -294,13 +340,9 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def sample_texts(docs: DataFrame, text_col: str, sample: int = SAMPLE) -> list[str]:
-    """About ``sample`` texts, at most, that have a base-like cue, by a hash of the text."""
+    """At most ``sample`` distinct texts that have a base-like cue, by a hash of the text."""
     rows = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}"))
-    rows = rows.select("text", F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("h"))
-    n = rows.count()
-    if n > sample:
-        rows = rows.where(F.col("h") < F.lit(int((1 << 30) * sample / n)))
-    return [r[0] for r in rows.dropDuplicates(["h"]).orderBy("h").limit(2 * sample).select("text").collect()]
+    return [r[0] for r in sampled(rows, "text", sample)]
 
 
 _SPANS = "array<struct<kind:string,start:long,end:long,base:boolean>>"

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -96,3 +97,55 @@ def test_query_rows(spark):
         assert by[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert set(want.split(",")) <= set(by[i].spans.split(","))
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def planted(seed, n):
+    """Texts with an entity in a form that a pattern finds and, further on, in one that none does: (text, the
+    place of the second form, its kind). Between them numbers that are none."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=rnd.randint(2, 8)))
+    out = []
+    for _ in range(n):
+        a, b, c = rnd.randint(200, 999), rnd.randint(200, 999), rnd.randint(1000, 9999)
+        digits = [rnd.randint(0, 9) for _ in range(15)]
+        digits[0] = 4
+        check = next(d for d in range(10) if pii.luhn("".join(map(str, digits)) + str(d)))
+        card = "".join(map(str, [*digits, check]))
+        kind = rnd.choice([2, 3])
+        if kind == 3:
+            first, second = f"call +1 ({a}) {b}-{c}", f"{a}.{b}.{c}" if rnd.random() < 0.5 else f"({a}) {b}-{c}"
+        else:
+            first, second = "card " + " ".join(card[k : k + 4] for k in range(0, 16, 4)), ".".join(card[k : k + 4] for k in range(0, 16, 4))
+        other = [f"License, Version {rnd.randint(1, 3)}.{rnd.randint(0, 9)}.", f"page {rnd.randint(1, 99)} of {rnd.randint(100, 999)}", f"in {rnd.randint(1900, 2030)},"]
+        words = [word() for _ in range(20)]
+        text = " ".join([*words[:5], first, *words[5:8], rnd.choice(other), *words[8:13], "again", ""])
+        out.append((text + second + " " + " ".join([*words[13:], rnd.choice(other)]), (len(text), len(text) + len(second)), kind))
+    return out
+
+
+def test_precision_and_recall_of_added_spans_held_out():
+    field = pii.train([t for t, *_ in planted(11, 600)])
+    found = right = 0
+    cases = planted(12, 300)
+    for text, (s, e), kind in cases:
+        more = pii.added_spans(text, field, pii.base_spans(text))
+        found += len(more)
+        right += any(k == kind and x < e and s < y for x, y, k in more)
+    assert right / len(cases) > 0.8 and right / max(found, 1) > 0.9, (right, found, len(cases))
+
+
+def test_versions_are_no_addresses():
+    assert not pii.plausible("2.0", 1) and pii.plausible("10 . 0 . 0 . 1", 1) and not pii.plausible("1.2.3.400", 1)
+    assert pii.plausible("555-010-0199", 3) and not pii.plausible("12 of 99", 3) and not pii.plausible("@", 0)
+
+
+def test_long_lists_of_numbers_take_linear_time():
+    field = pii.train(corpus())
+    phones = " ".join(f"+1 ({200 + k % 700}) 555-{k % 9000 + 1000:04d}" for k in range(30_000))
+    alike = "token 12345678 " * 30_000
+    mixed = "1.2.3.4 x 2.0 " * 30_000
+    for text in (phones, alike, mixed):
+        began = time.perf_counter()
+        base = pii.base_spans(text)
+        pii.added_spans(text, field, base)
+        assert time.perf_counter() - began < 60
