@@ -1,11 +1,12 @@
 """Line dedup with two Bloom filters: one for line keys seen once, one for keys seen twice.
 
-Every task folds its lines into a pair of bit maps (``once``, ``twice``); pairs merge by
-``twice = t1 | t2 | (o1 & o2)``, ``once = o1 | o2``, which is associative and never forgets a key
-that two documents hold. Only lines whose key the merged ``twice`` filter knows (repeats, and a few
-false positives) are shuffled, as 128-bit BLAKE2b digests, to be confirmed exactly and to find the
-first document that holds them. The filters' size follows the counted lines up to ``MOST_BITS``;
-beyond that they fill up, and more lines are shuffled, with the same result.
+The key space is cut into slices by the key's digest (128 bits of BLAKE2b), as many as the counted lines
+ask for. Every chunk of lines asks each slice about its distinct keys (once, however many of its
+documents hold a key). A slice has a pair of bit maps for its part of the keys: a key that chunks or
+documents bring a second time goes from ``once`` to ``twice``. Only what ``twice`` knows (repeats, and a few
+false positives) is shuffled on, to be confirmed exactly and to find the first document that holds it;
+the answer goes back to the chunks. No filter, key or answer passes through the driver, and a filter's
+size depends on its slice only.
 
 A line's key: the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lower-cased. Keys of at least
 ``min_chars`` code points found in at least two documents (distinct ids) lose all lines except
@@ -18,13 +19,13 @@ along; those named like an output column are replaced by it.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +33,9 @@ from pyspark.sql import types as T
 from .common import BROADCAST_BYTES, materialize, maybe_broadcast, texts
 
 MIN_CHARS = 10
-#: Bits of a filter for each line, and the least and most bits of a filter (powers of two).
-BITS_PER_LINE, LEAST_BITS, MOST_BITS = 8, 1 << 16, 1 << 28
+#: Bits of a filter for each key; keys of a slice on average, at most; (document, key) pairs of a chunk.
+BITS_PER_KEY, SLICE_KEYS, CHUNK = 8, 1 << 20, 1 << 18
 _PROBES = 3
-_BLOCK = 1 << 16  # bytes of a filter that travel together
 _NO_ID = (1 << 63) - 1
 
 
@@ -73,104 +73,134 @@ def _put(bitmap: np.ndarray, hashes: np.ndarray) -> None:
     np.bitwise_or.at(bitmap, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
 
 
-def repeat_filter(docs: DataFrame, text_col: str, bits: int, least: int = MIN_CHARS) -> np.ndarray:
-    """The bit map (``bits`` / 8 bytes) of keys that two or more rows hold, built in one pass."""
+def _digest(key: bytes) -> bytes:
+    return hashlib.blake2b(key, digest_size=16).digest()
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            found = [xxhash.xxh3_64_intdigest(k) for t in texts(batch.column(0)) for k in _keys(t, least)]
-            if found:
-                hashes, counts = np.unique(np.array(found, np.uint64), return_counts=True)
-                _put(twice, hashes[(counts > 1) | _has(once, hashes)])
-                _put(once, hashes)
-        yield from packed(once, twice, range(0, bits // 8, _BLOCK))
-
-    def packed(once, twice, starts):
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for start in starts:
-            part = slice(start, start + _BLOCK)
-            if once[part].any() or twice[part].any():
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "block": pa.array([start // _BLOCK], pa.int32()),
-                        "once": pa.array([pack(once[part].tobytes())], pa.binary()),
-                        "twice": pa.array([pack(twice[part].tobytes())], pa.binary()),
-                    }
-                )
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        held: dict[int, list] = {}
+def _halves(keys: bytes) -> tuple[np.ndarray, np.ndarray]:
+    pairs = np.frombuffer(keys, np.uint64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def line_chunks(docs: DataFrame, doc_id: str, text_col: str, least: int = MIN_CHARS) -> DataFrame:
+    """A table of chunks: chunk, n, ids (longs) and keys (digests) of n (document, key) pairs."""
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, ids, keys = TaskContext.get().partitionId() << 32, [], []
+
+        def row():
+            columns = [pa.array([chunk]), pa.array([len(keys)], pa.int64()), pa.array([np.array(ids, np.int64).tobytes()]), pa.array([b"".join(keys)])]
+            return pa.RecordBatch.from_arrays(columns, ["chunk", "n", "ids", "keys"])
+
         for batch in batches:
-            for block, o, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                o, t = np.frombuffer(unpack(o), np.uint8), np.frombuffer(unpack(t), np.uint8)
-                if block in held:
-                    have = held[block]
-                    have[1] |= t | (have[0] & o)
-                    have[0] |= o
-                else:
-                    held[block] = [o.copy(), t.copy()]
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for block, (o, t) in held.items():
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "block": pa.array([block], pa.int32()),
-                    "once": pa.array([pack(o.tobytes())], pa.binary()),
-                    "twice": pa.array([pack(t.tobytes())], pa.binary()),
-                }
+            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
+                found = list(map(_digest, _keys(text, least)))
+                for k in range(0, len(found), CHUNK):  # a text may be longer than a chunk
+                    part = found[k : k + CHUNK]
+                    ids += [doc] * len(part)
+                    keys += part
+                    if len(keys) >= CHUNK:
+                        yield row()
+                        chunk, ids, keys = chunk + 1, [], []
+        if keys:
+            yield row()
+
+    narrow = docs.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text")
+    )
+    return materialize(narrow.mapInArrow(collect, "chunk long, n long, ids binary, keys binary"), "lines")
+
+
+def _ask(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each chunk, for each slice: its distinct keys with the least and the largest id that holds them."""
+    for batch in batches:
+        for chunk, ids, keys in zip(*(batch.column(c).to_pylist() for c in ("chunk", "ids", "keys")), strict=True):
+            ids, (a, b) = np.frombuffer(ids, np.int64), _halves(keys)
+            order = np.lexsort((ids, b, a))
+            ids, a, b = ids[order], a[order], b[order]
+            first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            lo, hi = ids[first], ids[np.append(first[1:], len(ids)) - 1]
+            pairs, part = np.stack([a[first], b[first]], axis=1), a[first] >> np.uint64(64 - bits) if bits else np.zeros(len(first), np.uint64)
+            cuts = np.flatnonzero(np.append(np.append(True, part[1:] != part[:-1]), True)).tolist()
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([int(part[x]) for x, _ in spans], pa.int32()),
+                    pa.array([chunk] * len(spans), pa.int64()),
+                    *(pa.array([c[x:y].tobytes() for x, y in spans], pa.binary()) for c in (pairs, lo, hi)),
+                ],
+                ["slice", "chunk", "keys", "lo", "hi"],
             )
 
-    shape = "block int, once binary, twice binary"
-    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(fold, shape)
-    whole = np.zeros(bits // 8, np.uint8)
-    unpack = zstandard.ZstdDecompressor().decompress
-    for row in parts.repartition("block").mapInArrow(merge, shape).select("block", "twice").toLocalIterator():
-        got = np.frombuffer(unpack(bytes(row[1])), np.uint8)
-        whole[row[0] * _BLOCK : row[0] * _BLOCK + len(got)] = got
-    return whole
 
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys (key, chunk, lo, hi) that a slice's ``twice`` knows; rows come in order of the slice."""
+
+    def told(asked: list[tuple]):
+        once, twice = slice_filters([(_halves(keys)[0], np.frombuffer(lo, np.int64) < np.frombuffer(hi, np.int64)) for _, keys, lo, hi in asked])
+        for chunk, keys, lo, hi in asked:
+            hit = np.flatnonzero(_has(twice, _halves(keys)[0]))
+            if len(hit):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([keys[16 * k : 16 * k + 16] for k in hit.tolist()], pa.binary()),
+                        pa.array([chunk] * len(hit), pa.int64()),
+                        pa.array(np.frombuffer(lo, np.int64)[hit]),
+                        pa.array(np.frombuffer(hi, np.int64)[hit]),
+                    ],
+                    ["key", "chunk", "lo", "hi"],
+                )
 
-def filter_bits(docs: DataFrame, text_col: str) -> int:
-    """A power of two that suits the number of lines, within LEAST_BITS and MOST_BITS."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    lines = docs.agg(F.sum(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0]
-    return min(MOST_BITS, max(LEAST_BITS, 1 << ((lines or 0) * BITS_PER_LINE).bit_length()))
+    now, held = None, []
+    for batch in batches:
+        for number, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if number != now:
+                if held:
+                    yield from told(held)
+                now, held = number, []
+            held.append(row)
+    if held:
+        yield from told(held)
 
 
-def _digest(key: bytes) -> bytes:
-    return hashlib.blake2b(key, digest_size=16).digest()
+def slice_filters(asked: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The bit maps ``once`` and ``twice`` of (hashes, whether two documents of one chunk hold them)."""
+    bits = max(64, 1 << (sum(len(h) for h, _ in asked) * BITS_PER_KEY).bit_length())
+    once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+    for hashes, both in asked:
+        _put(twice, hashes[both | _has(once, hashes)])
+        _put(once, hashes)
+    return once, twice
 
 
 def repeated_keys(docs: DataFrame, doc_id: str, text_col: str, min_chars: int = MIN_CHARS) -> DataFrame:
     """Rows (id, keys): digests of the keys that the document has to lose."""
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(repeat_filter(docs, text_col, filter_bits(docs, text_col), min_chars))
+    lines = line_chunks(docs, doc_id, text_col, min_chars)
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(24, max((lines.agg(F.sum("n")).first()[0] or 0) // SLICE_KEYS, least - 1).bit_length())
+    asked = lines.mapInArrow(functools.partial(_ask, bits), "slice int, chunk long, keys binary, lo binary, hi binary")
+    dealt = asked.repartition(1 << bits, "slice").sortWithinPartitions("slice")
+    found = materialize(dealt.mapInArrow(_suspects, "key binary, chunk long, lo long, hi long"), "suspects")
+    first = found.groupBy("key").agg(F.min("lo").alias("keep"), F.max("hi").alias("last")).where("keep < last")
+    first = materialize(first.select("key", "keep"), "first")
+    # a chunk gets the answer to what it asked, at most CHUNK keys
+    back = found.select("key", "chunk").join(maybe_broadcast(first, 60), "key")
+    back = materialize(back.groupBy("chunk").agg(F.collect_list("key").alias("gone"), F.collect_list("keep").alias("keep")), "answers")
+    held = back.agg(F.sum(40 + 24 * F.size("gone"))).first()[0] or 0
 
-    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = known.value
+    def lose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                found = list(_keys(text, min_chars))
-                if found:
-                    hit = _has(bitmap, np.array([xxhash.xxh3_64_intdigest(k) for k in found], np.uint64))
-                    keys += [_digest(k) for k, h in zip(found, hit.tolist(), strict=True) if h]
-                    ids += [doc] * (len(keys) - len(ids))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["key", "id"])
-
-    narrow = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text")
-    )
-    found = materialize(narrow.mapInArrow(suspects, "key binary, id long"), "suspects")
-    first = found.groupBy("key").agg(F.min("id").alias("keep"), F.max("id").alias("last")).where("keep < last")
-    first = materialize(first.select("key", "keep"), "first")
-    return (
-        found.join(maybe_broadcast(first, 60), "key")
-        .where("id > keep")
-        .groupBy("id")
-        .agg(F.collect_set("key").alias("keys"))
-    )
+            for ids, keys, gone, keep in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                of, out = dict(zip(gone, keep, strict=True)), {}
+                for k, doc in enumerate(np.frombuffer(ids, np.int64).tolist()):
+                    key = keys[16 * k : 16 * k + 16]
+                    if doc > of.get(key, doc):
+                        out.setdefault(doc, []).append(key)
+                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.list_(pa.binary()))], ["id", "keys"])
+
+    joined = lines.join(F.broadcast(back) if held <= BROADCAST_BYTES else back, "chunk").select("ids", "keys", "gone", "keep")
+    drops = joined.mapInArrow(lose, "id long, keys array<binary>")
+    return drops.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
 
 
 def dedup_lines(

@@ -41,26 +41,25 @@ def test_equals_brute_force(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_a_full_filter_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(ld, "LEAST_BITS", 64)
-    monkeypatch.setattr(ld, "MOST_BITS", 64)
+def test_full_filters_small_chunks_and_slices_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ld, "BITS_PER_KEY", 0)  # 64 bits a filter
     monkeypatch.setattr(ld, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(ld, "CHUNK", 16)
+    monkeypatch.setattr(ld, "SLICE_KEYS", 8)
     rows = corpus()
     assert run(spark, rows) == brute(rows)
 
 
-def test_filter_never_forgets_a_repeat(spark):
-    rows = corpus()
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    bitmap = ld.repeat_filter(df, "text", 1 << 12)
-    import xxhash
-
-    seen = {}
-    for _, t in rows:
-        for k in ld._keys((t or "").encode(), 10):
-            seen[k] = seen.get(k, 0) + 1
-    twice = np.array([xxhash.xxh3_64_intdigest(k) for k, n in seen.items() if n > 1], np.uint64)
-    assert ld._has(bitmap, twice).all()
+def test_filters_never_forget_a_repeat():
+    rnd = np.random.default_rng(3)
+    chunks = [np.unique(rnd.integers(0, 3000, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(6)]
+    both = [rnd.random(len(c)) < 0.1 for c in chunks]
+    once, twice = ld.slice_filters(list(zip(chunks, both)))
+    hashes, counts = np.unique(np.concatenate(chunks), return_counts=True)
+    assert ld._has(once, hashes).all() and ld._has(twice, hashes[counts > 1]).all()
+    assert all(ld._has(twice, c[b]).all() for c, b in zip(chunks, both))
+    single = np.setdiff1d(hashes[counts == 1], np.concatenate([c[b] for c, b in zip(chunks, both)]))
+    assert ld._has(twice, single).mean() < 0.1
 
 
 def test_empty_table(spark):
