@@ -3,7 +3,7 @@
 Writing. Every page is one WARC/1.1 record, a gzip member of its own. Of pages with equal payloads the
 one with the largest id is a ``response`` with the payload, all others are ``revisit`` records that name
 its record and digest. Members are packed into archive chunks of about ``CHUNK`` bytes; a chunk is one row
-(archive, start, data) of the archive table, which Spark writes to any store it can write to, with
+(archive, start, end, data) of the archive table, which Spark writes to any store it can write to, with
 its commit protocol; ``export`` joins chunks into .warc.gz files. (Spark has no sink for raw binary files,
 and a file written by a task itself would neither be committed nor reach a store other than a mount.)
 
@@ -11,7 +11,9 @@ Index. Entries (key, archive, offset, length, ...) are range-sorted by key: the
 reverse order, then the rest of the URL. Each ``BLOCK`` entries become one zlib-compressed block; the
 sparse directory holds the first key and the number of each block. ``lookup`` searches the directory
 binarily for the blocks of the wanted keys, the block for the key, and then reads the ranges of the
-archive that the entries name.
+archive that the entries name. A lookup of few keys names its blocks and chunks to the scans, which
+then read the pages of those rows alone (the tables are written in their order, in small pages); one of many
+joins them.
 
 Digests: base-32 SHA-1 of the full payload, for revisits too.
 
@@ -106,28 +108,45 @@ def parse(member: bytes) -> dict:
 
 
 def plan_records(pages: DataFrame, page_id: str, html_col: str) -> DataFrame:
-    """Rows (k, digest, kind, refers_to): what each (id, payload) is to be; one row for each."""
+    """Rows (k, sha1, refers_to): the (id, payload) pairs that are revisits, one row for each."""
+    k = F.coalesce(F.col(page_id).cast("long"), F.lit(_NO_ID)).alias("k")
+    found = pages.select(k, _sha1(F.col(html_col)).alias("sha1")).distinct()
+    found = materialize(found, "digests")
+    last = materialize(found.groupBy("sha1").agg(F.max("k").alias("refers_to"), F.count("*").alias("n")).where("n > 1"), "repeats")
+    joined = found.join(maybe_broadcast(last, 120), "sha1")
+    return joined.where("k < refers_to").select("k", "sha1", "refers_to")
+
+
+def _sha1(html) -> F.Column:
+    return F.sha1(F.coalesce(html.cast("string"), F.lit("")).cast("binary"))
+
+
+_ARCHIVE = "archive string, start long, end long, data binary, entries array<struct<key:string,offset:long,length:int,page_id:long>>"
+
+
+#: Blocks or chunks that a scan is told by name, at most (Parquet's filter tells so many values apart).
+MOST_NAMED = 10
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [digest(t or b"") for t in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["k", "digest"])
 
-    narrow = pages.select(F.coalesce(F.col(page_id).cast("long"), F.lit(_NO_ID)).alias("k"), F.col(html_col).cast("string"))
-    found = materialize(narrow.mapInArrow(digests, "k long, digest string").distinct(), "digests")
-    last = materialize(found.groupBy("digest").agg(F.max("k").alias("last"), F.count("*").alias("n")).where("n > 1"), "repeats")
-    joined = found.join(maybe_broadcast(last, 120), "digest", "left")
-    again = F.col("last").isNotNull() & (F.col("k") < F.col("last"))
-    return joined.select("k", "digest", F.when(again, F.col("last")).alias("refers_to"), again.alias("again")).where("again")
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A work table whose pages and row groups hold few rows, so that a filter skips the others."""
+    return materialize(df, name, {"parquet.page.row.count.limit": "1", "parquet.block.size": str(8 * CHUNK)})
 
 
-_ARCHIVE = "archive string, start long, data binary, entries array<struct<key:string,offset:long,length:int,page_id:long>>"
+def _named(table: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``table`` without the rows that no wanted row (a work table of keys) names, where these are few."""
+    few = wanted.select(*keys).distinct().limit(MOST_NAMED + 1).collect()
+    if len(few) > MOST_NAMED:
+        return table
+    for c in keys:
+        table = table.where(F.col(c).isin(*{r[c] for r in few}))
+    return table
 
 
 def write_archives(
     pages: DataFrame, page_id: str = "page_id", url_col: str = "url", html_col: str = "html", chunk: int = CHUNK
 ) -> DataFrame:
-    """The archive table (archive, start, data, entries), written to the shared folder: one archive for
+    """The archive table (archive, start, end, data, entries), written to the shared folder: one archive for
     each task, its chunks in order of ``start``; ``entries`` says where the chunk's records are."""
     again = materialize(plan_records(pages, page_id, html_col), "revisits")
     rows = pages.select(
@@ -135,10 +154,8 @@ def write_archives(
         F.col(url_col).cast("string").alias("url"),
         F.col(html_col).cast("string").alias("html"),
     )
-    again = again.select("k", F.col("digest").alias("again_digest"), "refers_to")
-    # an id has one payload as a rule; where it has several, the digest tells which row is meant
-    known = again.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("again_digest", "refers_to"))).alias("again"))
-    rows = rows.join(maybe_broadcast(known, 160), "k", "left")
+    # an id has one payload as a rule; where it has several (or rows have none), the digest tells which row is meant
+    rows = rows.withColumn("sha1", _sha1(F.col("html"))).join(maybe_broadcast(again, 100), ["k", "sha1"], "left")
     entry = pa.struct([("key", pa.string()), ("offset", pa.int64()), ("length", pa.int32()), ("page_id", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,18 +167,18 @@ def write_archives(
                 [
                     pa.array([archive]),
                     pa.array([start], pa.int64()),
+                    pa.array([start + len(held)], pa.int64()),
                     pa.array([bytes(held)], pa.binary()),
                     pa.array([entries], pa.list_(entry)),
                 ],
-                ["archive", "start", "data", "entries"],
+                ["archive", "start", "end", "data", "entries"],
             )
 
         for batch in batches:
             columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), batch.column(3).to_pylist()
-            for k, url, html, again in zip(*columns, strict=True):
+            for k, url, html, of in zip(*columns, strict=True):
                 payload, number = html or b"", None if k == _NO_ID else k
                 told = digest(payload)
-                of = dict(again or ()).get(told)
                 kind = "response" if of is None else "revisit"
                 member = record(kind, number, url, payload, told, len(payload), of)
                 entries.append({"key": url_key(url), "offset": start + len(held), "length": len(member), "page_id": number})
@@ -172,7 +189,7 @@ def write_archives(
         if held:
             yield flush()
 
-    return materialize(rows.select("k", "url", "html", "again").mapInArrow(write, _ARCHIVE), "archives")
+    return _stored(rows.select("k", "url", "html", "refers_to").mapInArrow(write, _ARCHIVE), "archives")
 
 
 def _escaped(key: str) -> str:
@@ -218,7 +235,7 @@ def build_index(archives: DataFrame, block: int = BLOCK) -> tuple[DataFrame, Dat
             yield flush()
 
     shape = "block long, first string, last string, n int, data binary"
-    blocks = materialize(ordered.mapInArrow(pack, shape), "blocks")
+    blocks = _stored(ordered.mapInArrow(pack, shape), "blocks")
     return blocks, blocks.select("first", "last", "block")
 
 
@@ -259,7 +276,7 @@ def locate(blocks: DataFrame, directory: DataFrame, keys: DataFrame) -> DataFram
         at = wanted.mapInArrow(search, "key string, block long")
     else:
         at = _range_join(wanted, directory)
-    at = at.groupBy("block").agg(F.sort_array(F.collect_set("key")).alias("wanted"))
+    at = materialize(at.groupBy("block").agg(F.sort_array(F.collect_set("key")).alias("wanted")), "wanted")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,7 +295,7 @@ def locate(blocks: DataFrame, directory: DataFrame, keys: DataFrame) -> DataFram
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["key", "archive", "offset", "length"]
             )
 
-    found = blocks.select("block", "data").join(at, "block").select("data", "wanted")
+    found = _named(blocks, at, ["block"]).select("block", "data").join(at, "block").select("data", "wanted")
     return found.mapInArrow(read, "key string, archive string, offset long, length int")
 
 
@@ -301,7 +318,8 @@ _READ = "page_id long, url string, record_type string, payload_digest string, pa
 def read_records(archives: DataFrame, places: DataFrame, payloads: bool = False) -> DataFrame:
     """The records at places (archive, offset, length), read by range. ``payloads``: with the stored
     payload (null for revisits)."""
-    spans = archives.select("archive", "start", (F.col("start") + F.octet_length("data")).alias("end"))
+    places = materialize(places, "places")
+    spans = archives.select("archive", "start", "end")
     # a place lies in one chunk: chunks are found by the offsets at which they begin
     cells = F.explode(F.sequence(F.floor(F.col("start") / CHUNK), F.floor((F.col("end") - 1) / CHUNK))).alias("cell")
     spans = spans.select("archive", "start", "end", cells)
@@ -309,6 +327,7 @@ def read_records(archives: DataFrame, places: DataFrame, payloads: bool = False)
     at = at.where("offset >= start and offset < end")
     # a chunk's places are bounded by the chunk
     at = at.groupBy("archive", "start").agg(F.sort_array(F.collect_set(F.struct("offset", "length"))).alias("places"))
+    at = materialize(at, "chunks")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,7 +348,7 @@ def read_records(archives: DataFrame, places: DataFrame, payloads: bool = False)
                     ["page_id", "url", "record_type", "payload_digest", "payload_bytes", "refers_to", "payload"],
                 )
 
-    found = archives.select("archive", "start", "data").join(at, ["archive", "start"]).select("start", "data", "places")
+    found = _named(archives, at, ["archive", "start"]).select("archive", "start", "data").join(at, ["archive", "start"]).select("start", "data", "places")
     return found.mapInArrow(read, _READ)
 
 

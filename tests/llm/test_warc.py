@@ -72,3 +72,32 @@ def test_percent_encoded_newlines(spark):
     urls = ["http://a.b/x%0Ay", "http://a.b/x\ny", "http://a.b/x%250Ay", "http://a.b/x%25", "http://a.b/x"]
     rows = [(i, u, f"page {i}") for i, u in enumerate(urls)]
     assert run(spark, rows) == brute(rows)
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    rows = [(None, "http://a.b/1", "same"), (None, "http://a.b/2", "same"), (None, "http://a.b/3", "other"), (None, "http://a.b/3", "other")]
+    rows += [(7, "http://a.b/7", "same"), (7, "http://a.b/7", "same"), (3, "http://a.b/3", "same"), (7, "http://a.b/8", "two payloads")]
+    d = {h: warc.digest(h.encode()) for _, _, h in rows}
+    want = [(p, len(h), d[h], *(("revisit", 7) if h == "same" and p != 7 else ("response", None))) for p, _, h in rows]
+    assert run(spark, rows) == sorted(want, key=str)
+
+
+def test_a_lookup_of_few_keys_reads_only_their_blocks_and_chunks(spark):
+    rows = [(i, f"http://h{i:03d}.example/", f"page {i} " * 300) for i in range(200)]
+    archives = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), chunk=400)
+    blocks, directory = warc.build_index(archives, block=4)
+    one = spark.createDataFrame([("http://h077.example/",)], "url string")
+    found = warc.lookup(archives, blocks, directory, one, payloads=True)
+    assert [(r.page_id, bytes(r.payload).decode()) for r in found.collect()] == [(77, "page 77 " * 300)]
+    place = warc.locate(blocks, directory, one.selectExpr("'example,h077)/' as key"))
+    plan = place._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(block" in plan or "In(block" in plan
+    number = directory.where("first <= 'example,h077)/' and last >= 'example,h077)/'").select("block")
+    chosen = warc._named(blocks, number, ["block"])
+    assert chosen.count() == 1 < blocks.count()
+    chosen.collect()
+    scan = chosen._jdf.queryExecution().executedPlan()
+    while scan.children().size():
+        scan = scan.children().head()
+    read = int(scan.metrics().get("numOutputRows").get().value())
+    assert read < blocks.count() / 2  # pages of other rows are skipped
