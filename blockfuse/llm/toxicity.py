@@ -2,13 +2,18 @@
 
 Tokens are words (A-Z lower-cased); labels are O and T (toxic). The chain has emission weights for
 *marks*, which are words or word beginnings (3 to 8 bytes, so that inflected and compound forms share
-one), and transition weights. It is trained on labelled tokens: in a bounded sample of labelled
-documents, marks are found whose documents are toxic far more often than not (a lower bound on the
-ratio of rates) and which together explain the toxic ones; the tokens of a toxic document that have a
-mark are labelled T, all others O. Where the caller has token labels, ``fit`` takes those. Weights are
-found by gradient ascent on the regularised log-likelihood (forward-backward expectations).
-
-Scoring computes forward-backward marginals of every token of a whole text. Words without a mark share one emission, so a run of k of them is one step with the k-th power of their transition
+one), for the marks of the words before and after a token, and transition weights. Candidates for marks
+are found in a bounded sample of labelled documents: their documents are toxic far more often than not
+(a lower bound on the ratio of rates), and together they explain the toxic ones.
+
+Training has two steps, both by gradient ascent with forward-backward expectations. The first, on labelled
+tokens: those of a toxic document that have a mark are T, all others O (where the caller has token labels,
+``fit`` takes those). The second lets the tags of toxic documents be unknown, under their label: a toxic
+document has at least one T, a clean one has none, and the likelihood of just that is raised. So a mark
+that clean documents hold too, or that others explain, loses its weight, and neighbours count.
+
+Scoring computes forward-backward marginals of every token of a whole text. Words without a mark or a marked
+neighbour share one emission, so a run of k of them is one step with the k-th power of their transition
 matrix; only the other tokens are visited. The result is that of visiting every token.
 
 The document's score is a noisy-or of its tokens' marginals, each less the marginal that a word
@@ -31,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import SAMPLE_BYTES, sampled, texts
 
 #: Labelled documents of each kind that training reads at most, by a hash of the id.
 SAMPLE = 1500
@@ -69,11 +74,13 @@ class _MarkOf(dict):
 
 
 class Chain:
-    """Two labels; ``emission[mark]`` is the weight of T against O, ``other`` that of all other words;
-    ``step``: 2 x 2 transition weights, ``start``: two weights."""
+    """Two labels; ``emission[mark]`` is the weight of T against O, ``other`` that of all other words; ``before``
+    and ``after`` are added for the marks of the words there; ``step``: 2 x 2 transition weights, ``start``: two
+    weights."""
 
-    def __init__(self, emission: dict[bytes, float], other: float, step: np.ndarray, start: np.ndarray):
+    def __init__(self, emission: dict[bytes, float], other: float, step: np.ndarray, start: np.ndarray, before=None, after=None):
         self.emission, self.other, self.step, self.start = emission, other, step, start
+        self.before, self.after = before or {}, after or {}
         self.mark_of = _MarkOf(set(emission))
         plain = np.exp(np.array([0.0, other]))
         # the matrix of a step onto a word without weight, in its eigenbasis: powers in closed form
@@ -100,10 +107,20 @@ class Chain:
                 self._powers[k] = got
         return got
 
+    def weights(self, words: list[bytes]) -> list[tuple[int, float]]:
+        """(index, weight of T) of the tokens that are not like any plain word, in order."""
+        marked = [(i, m) for i, m in enumerate(map(self.mark_of.__getitem__, words)) if m is not None]
+        out = {i: self.emission[m] for i, m in marked}
+        last = len(words) - 1
+        for i, m in marked:
+            for at, more in ((i - 1, self.after.get(m, 0.0)), (i + 1, self.before.get(m, 0.0))):
+                if more and 0 <= at <= last:
+                    out[at] = out.get(at, self.other) + more
+        return sorted(out.items())
+
     def marginals(self, words: list[bytes]) -> list[tuple[int, float]]:
         """(index, P(T)) of the tokens that have a weight."""
-        weight = self.emission
-        active = [(i, weight[m]) for i, m in enumerate(map(self.mark_of.__getitem__, words)) if m is not None]
+        active = self.weights(words)
         if not active:
             return []
         t = np.exp(self.step)
@@ -155,7 +172,10 @@ class Chain:
 
 def plain_marginals(chain: Chain, words: list[bytes]) -> list[float]:
     """Forward-backward over every token, for tests and training."""
-    e = np.array([[1.0, math.exp(chain.emission.get(chain.mark_of[w], chain.other))] for w in words])
+    m = [chain.mark_of[w] for w in words]
+    near = lambda table, k: table.get(m[k], 0.0) if 0 <= k < len(m) and m[k] is not None else 0.0
+    total = [chain.emission.get(x, chain.other) + near(chain.before, i - 1) + near(chain.after, i + 1) for i, x in enumerate(m)]
+    e = np.array([[1.0, math.exp(w)] for w in total])
     t = np.exp(chain.step)
     f = np.empty_like(e)
     f[0] = np.exp(chain.start) * e[0]
@@ -203,59 +223,103 @@ def find_marks(docs: list[tuple[list[bytes], int]], z: float = 2.6) -> set[bytes
     return chosen | {w for w in able if not good[w] and bad[w] >= max(8, n1 // 25)}
 
 
+def _passes(emission: np.ndarray, step: np.ndarray, start: np.ndarray, real: np.ndarray):
+    """Forward-backward over padded sequences: (token marginals, pair marginals, log partition function)."""
+    e = np.stack([np.ones(emission.shape), np.exp(emission)], axis=2)
+    t, longest = np.exp(step), emission.shape[1]
+    f, logs = np.empty_like(e), np.zeros(len(e))
+    for i in range(longest):
+        f[:, i] = (np.exp(start) if i == 0 else f[:, i - 1] @ t) * e[:, i]
+        norm = f[:, i].sum(axis=1)
+        f[:, i] /= norm[:, None]
+        logs += np.where(real[:, i], np.log(norm), 0.0)
+    b = np.ones_like(e)
+    for i in range(longest - 2, -1, -1):
+        nxt = (e[:, i + 1] * b[:, i + 1]) @ t.T
+        nxt /= nxt.sum(axis=1, keepdims=True)
+        b[:, i] = np.where(real[:, i + 1][:, None], nxt, 1.0)
+    g = f * b
+    g /= g.sum(axis=2, keepdims=True)
+    pair = f[:, :-1, :, None] * t[None, None] * (e[:, 1:] * b[:, 1:])[:, :, None, :]
+    pair /= pair.sum(axis=(2, 3), keepdims=True)
+    return g[:, :, 1], pair, logs
+
+
 def fit(
-    sequences: list[tuple[list[bytes], list[int]]], marks: set[bytes], rounds: int = 200, l2: float = 0.0002
+    sequences: list[tuple[list[bytes], list[int]]],
+    marks: set[bytes],
+    rounds: int = 100,
+    l2: float = 0.0002,
+    toxic: list[int] | None = None,
+    latent_rounds: int = 60,
 ) -> Chain:
-    """Weights from labelled tokens, by adaptive gradient ascent on batches of forward-backward passes."""
+    """Weights from labelled tokens, by adaptive gradient ascent on batches of forward-backward passes. With
+    ``toxic`` (the labels of the sequences' documents), followed by rounds in which the tags are latent."""
     marked = sorted(marks)
     number, mark_of = {w: k for k, w in enumerate(marked)}, _MarkOf(marks)
-    width = len(marked) + 1
-    pieces = []
-    for words, ys in sequences:
-        ids = np.array([number.get(mark_of[w], width - 1) for w in words], np.int64)
-        pieces.append((ids, np.array(ys, np.int64)))
-    longest = max(len(i) for i, _ in pieces)
-    ids = np.full((len(pieces), longest), width - 1)
-    ys, real = np.zeros((len(pieces), longest), np.int64), np.zeros((len(pieces), longest), bool)
-    for k, (i, y) in enumerate(pieces):
-        ids[k, : len(i)], ys[k, : len(i)], real[k, : len(i)] = i, y, True
-    emission, step, start = np.zeros(width), np.zeros((2, 2)), np.zeros(2)
-    speed = [np.full(width, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)]
-    seen_e = np.bincount(ids[real], weights=ys[real], minlength=width)
-    seen_t = np.zeros((2, 2))
-    both = real[:, 1:] & real[:, :-1]
-    np.add.at(seen_t, (ys[:, :-1][both], ys[:, 1:][both]), 1)
-    seen_s = np.bincount(ys[:, 0], minlength=2).astype(float)
-    total = real.sum()
-    for _ in range(rounds):
-        e = np.stack([np.ones(ids.shape), np.exp(emission[ids])], axis=2)
-        t = np.exp(step)
-        f = np.empty_like(e)
-        f[:, 0] = np.exp(start) * e[:, 0]
-        f[:, 0] /= f[:, 0].sum(axis=1, keepdims=True)
-        for i in range(1, longest):
-            f[:, i] = (f[:, i - 1] @ t) * e[:, i]
-            f[:, i] /= f[:, i].sum(axis=1, keepdims=True)
-        b = np.ones_like(e)
-        for i in range(longest - 2, -1, -1):
-            nxt = (e[:, i + 1] * b[:, i + 1]) @ t.T
-            nxt /= nxt.sum(axis=1, keepdims=True)
-            b[:, i] = np.where(real[:, i + 1][:, None], nxt, 1.0)
-        g = f * b
-        g /= g.sum(axis=2, keepdims=True)
-        want_e = np.bincount(ids[real], weights=g[:, :, 1][real], minlength=width)
-        pair = f[:, :-1, :, None] * t[None, None] * (e[:, 1:] * b[:, 1:])[:, :, None, :]
-        pair /= pair.sum(axis=(2, 3), keepdims=True)
-        want_t = pair[both].sum(axis=0)
-        want_s = g[:, 0].sum(axis=0)
-        for value, grad, s in (
-            (emission, (seen_e - want_e) / total - l2 * emission / width, speed[0]),
-            (step, (seen_t - want_t) / total - l2 * step / 4, speed[1]),
-            (start, (seen_s - want_s) / total - l2 * start / 2, speed[2]),
-        ):
-            s += grad * grad
-            value += 1.0 * grad / np.sqrt(s)
-    return Chain({w: float(emission[k]) for w, k in number.items()}, float(emission[-1]), step, start)
+    plain = len(marked)
+    longest = max(len(words) for words, _ in sequences)
+    ids = np.full((len(sequences), longest + 2), plain)  # with a place before and after
+    ys, real = np.zeros((len(sequences), longest), np.int64), np.zeros((len(sequences), longest), bool)
+    for k, (words, y) in enumerate(sequences):
+        ids[k, 1 : len(words) + 1] = [number.get(mark_of[w], plain) for w in words]
+        ys[k, : len(words)], real[k, : len(words)] = y, True
+    own, left, right = ids[:, 1:-1], ids[:, :-2], ids[:, 2:]
+    value = {
+        "emission": np.zeros(plain + 1), "before": np.zeros(plain + 1), "after": np.zeros(plain + 1),
+        "step": np.zeros((2, 2)), "start": np.zeros(2),
+    }
+    both, total = real[:, 1:] & real[:, :-1], real.sum()
+
+    def sums(tags: np.ndarray, pairs: np.ndarray, weight: np.ndarray) -> dict:
+        """Expected features of tags (P(T) of each token) and pairs, of sequences with weights."""
+        tags = np.where(real, tags, 0.0) * weight[:, None]
+        out = {n: np.bincount(at.ravel(), weights=tags.ravel(), minlength=plain + 1) for n, at in (("emission", own), ("before", left), ("after", right))}
+        out["step"] = (np.where(both[:, :, None, None], pairs, 0.0) * weight[:, None, None, None]).sum(axis=(0, 1))
+        out["start"] = np.array([weight.sum() - tags[:, 0].sum(), tags[:, 0].sum()])
+        return out
+
+    one = np.ones(len(sequences))
+    seen_pairs = np.zeros((len(sequences), longest - 1, 2, 2))
+    rows, cols = np.nonzero(both)
+    seen_pairs[rows, cols, ys[rows, cols], ys[rows, cols + 1]] = 1
+    seen = sums(ys.astype(float), seen_pairs, one)
+
+    def ascend(times: int, gradient) -> None:
+        speed = {n: np.full_like(v, 1e-8) for n, v in value.items()}
+        for _ in range(times):
+            energy = value["emission"][own] + value["before"][left] + value["after"][right]
+            for n, grad in gradient(energy).items():
+                grad = grad / total - l2 * value[n] / value[n].size
+                if n in ("before", "after"):
+                    grad[plain] = 0.0  # a plain neighbour says nothing
+                speed[n] += grad * grad
+                value[n] += grad / np.sqrt(speed[n])
+
+    def labelled(energy):
+        tags, pairs, _ = _passes(energy, value["step"], value["start"], real)
+        want = sums(tags, pairs, one)
+        return {n: seen[n] - want[n] for n in want}
+
+    ascend(rounds, labelled)
+    if toxic is not None:
+        y = np.array(toxic, bool)
+        clean_pairs = np.zeros((2, 2))
+        clean_pairs[0, 0] = 1.0
+
+        def latent(energy):
+            tags, pairs, logs = _passes(energy, value["step"], value["start"], real)
+            # log P(all O) of each sequence; of toxic ones, the gradient of log(1 - P) is that of log P times -P / (1 - P)
+            none = value["start"][0] + value["step"][0, 0] * both.sum(axis=1) - logs
+            p = np.exp(np.minimum(none, -1e-9))
+            weight = np.where(y, -np.minimum(p / (1 - p), 1e3), 1.0)
+            want = sums(tags, pairs, weight)
+            has = sums(np.zeros(tags.shape), np.broadcast_to(clean_pairs, pairs.shape), weight)
+            return {n: has[n] - want[n] for n in want}
+
+        ascend(latent_rounds, latent)
+    weights = {n: {w: float(value[n][k]) for w, k in number.items()} for n in ("emission", "before", "after")}
+    return Chain(weights["emission"], float(value["emission"][plain]), value["step"], value["start"], weights["before"], weights["after"])
 
 
 def held_out(doc_id) -> F.Column:
@@ -266,20 +330,21 @@ def training_texts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """(text, toxic) of at most about ``sample`` labelled documents of each kind that are not held out."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    counts = dict(known.groupBy("toxic").count().collect())
-    if not counts.get(0) or not counts.get(1):
-        return []
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    bound = F.when(F.col("toxic") == 1, F.lit(int((1 << 30) * sample / counts[1]))).otherwise(F.lit(int((1 << 30) * sample / counts[0])))
-    chosen = known.where(part < bound).orderBy(F.xxhash64("doc_id")).limit(3 * sample)
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    picked = picked.join(F.broadcast(chosen), "doc_id").where(F.octet_length("text") > 0)
-    picked = picked.groupBy("text").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("text")).limit(3 * sample)
-    return [(r[0].encode(), r[1]) for r in picked.collect()]
+    picked = picked.where(F.octet_length("text") > 0).join(known, "doc_id").select("text", "toxic")
+    found = [(r[0].encode(), r[1]) for r in sampled(picked, "text", sample, SAMPLE_BYTES // 2, "toxic")]
+    return found if {y for _, y in found} == {0, 1} else []
+
+
+#: Training sees so many tokens around each of at most so many places of a document, drawn by a hash of the place.
+_AROUND, _PLACES = 4, 5
 
 
-#: Training sees at most this many tokens around each place that matters.
-_AROUND = 12
+def _drawn(words: list[bytes], places: list[int]) -> list[int]:
+    """Tokens in the windows around the drawn places (any place, where there are none), in order."""
+    mix = lambda i: (i * 0x9E3779B97F4A7C15 + len(words) * 0xD6E8FEB86659FD93 & (1 << 64) - 1) >> 20
+    chosen = sorted(places, key=mix)[:_PLACES] if places else [mix(0) % len(words)]
+    return sorted({k for i in chosen for k in range(max(0, i - _AROUND), min(len(words), i + _AROUND + 1))})
 
 
 def train(sample: list[tuple[bytes, int]]) -> Chain | None:
@@ -290,17 +355,14 @@ def train(sample: list[tuple[bytes, int]]) -> Chain | None:
     if not marks:
         return None
     mark_of = _MarkOf(marks)
-    sequences = []
+    sequences, toxic = [], []
     for words, y in docs:
         at = [i for i, w in enumerate(words) if mark_of[w] is not None]
-        if y and at:
-            for i in at[:4]:
-                piece = words[max(0, i - _AROUND) : i + _AROUND + 1]
-                sequences.append((piece, [int(mark_of[w] is not None) for w in piece]))
-        elif words:
-            piece = (words[at[0] - _AROUND if at and at[0] > _AROUND else 0 :] if at else words)[: 2 * _AROUND + 1]
-            sequences.append((piece, [0] * len(piece)))
-    return fit(sequences, marks)
+        if words and (at or not y):  # a toxic document without any mark tells nothing of the words
+            piece = [words[k] for k in _drawn(words, at)]
+            sequences.append((piece, [int(y and mark_of[w] is not None) for w in piece]))
+            toxic.append(y)
+    return fit(sequences, marks, toxic=toxic)
 
 
 def tag(
