@@ -8,6 +8,8 @@ For each row and language l the log posterior is
   on a bounded sample of rows (at most ``SAMPLE`` by a hash of the text, whole texts) with their
   declared language. TEXT is a temper for the trigrams' dependence: a text counts as at most
   ``EVIDENCE`` independent trigrams.
+* the declared language is the first subtag of what is declared ('en' of 'en-GB'), as a code of two letters
+  where it has one;
 * P(declared | l) and P(suffix | l): tables counted over all rows, with the text's own best language
   in the place of the true one, smoothed.
 * P(l | host): the host's counts over all rows, smoothed towards its suffix's distribution, which is
@@ -35,9 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, texts
+from .common import materialize, sampled, texts
 
 LANGUAGES = ("de", "en", "es", "fr")
+#: Codes of three letters for those of two.
+CODES = {
+    "deu": "de", "eng": "en", "fra": "fr", "fre": "fr", "ger": "de", "spa": "es",
+}
 SAMPLE = 2000
 CELLS = 1 << 16
 EVIDENCE = 60.0
@@ -45,12 +51,43 @@ SMOOTH = 20.0
 NOISE = "und"
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
-_TAG = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_RAW = re.compile(rb"(?i)<(script|style)\b")
+_CLOSE = {name: re.compile(rb"(?i)</" + name + rb"\s*>") for name in (b"script", b"style")}
 
 
 def strip_markup(html: bytes | None) -> bytes:
-    """The text between tags, without scripts, styles and comments."""
-    return _TAG.sub(b" ", html) if html else b""
+    """The text between tags, without scripts, styles and comments. What is opened and never closed is read as a
+    tag, up to the next '>'; without one the rest is text. One scan forward: what the rest of the page
+    was found not to hold is not sought again."""
+    html, out, at, lacking = html or b"", [], 0, set()
+
+    def end(kind: bytes, first: int) -> int:
+        if kind in lacking:
+            return -1
+        if kind in _CLOSE:
+            m = _CLOSE[kind].search(html, first)
+            stop = m.end() if m else -1
+        else:
+            found = html.find(kind, first)
+            stop = found + len(kind) if found >= 0 else -1
+        if stop < 0:
+            lacking.add(kind)
+        return stop
+
+    while (first := html.find(b"<", at)) >= 0:
+        stop, raw = -1, _RAW.match(html, first)
+        if raw:
+            stop = end(raw[1].lower(), raw.end())
+        elif html.startswith(b"<!--", first):
+            stop = end(b"-->", first + 4)
+        if stop < 0:
+            stop = end(b">", first + 1)
+        if stop < 0:
+            break
+        out.append(html[at:first])
+        at = stop
+    out.append(html[at:])
+    return b" ".join(out)
 
 
 def cells(text: bytes | None) -> np.ndarray:
@@ -75,7 +112,9 @@ def fit(sample: list[tuple[str, bytes]], languages=LANGUAGES) -> np.ndarray:
 
 def _rows(df: DataFrame, text, declared, suffix, host) -> DataFrame:
     text, declared, suffix, host = (F.col(c) if isinstance(c, str) else c for c in (text, declared, suffix, host))
-    clean = lambda c: F.coalesce(F.lower(F.substring(c.cast("string"), 1, 2)), F.lit(""))
+    first = lambda c: F.lower(F.regexp_extract(c.cast("string"), r"^\s*([A-Za-z]+)", 1))
+    codes = F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair])
+    clean = lambda c: F.coalesce(codes[first(c)], first(c), F.lit(""))
     return df.select(
         "*",
         text.cast("string").alias("__text"),
@@ -86,15 +125,10 @@ def _rows(df: DataFrame, text, declared, suffix, host) -> DataFrame:
 
 
 def sample_texts(rows: DataFrame, languages, sample: int, markup: bool) -> list[tuple[str, bytes]]:
-    """At most about ``sample`` rows of a declared language: those of the least text hashes."""
+    """At most ``sample`` rows of a declared language, with distinct texts: those of the least text hashes."""
     usable = rows.where(F.col("__declared").isin(*languages) & (F.octet_length("__text") > 0))
-    usable = usable.select("__declared", "__text", F.xxhash64("__text").alias("__h"))
-    n = usable.count()
-    if n > sample:  # the share of hashes that gives the bound; equal texts share a hash and count once below
-        usable = usable.where(F.pmod("__h", F.lit(1 << 30)) < F.lit(int((1 << 30) * sample / n)))
-    got = usable.dropDuplicates(["__h"]).orderBy("__h").limit(2 * sample).collect()
     strip = strip_markup if markup else (lambda t: t)
-    return [(r[0], strip(r[1].encode())) for r in got]
+    return [(r[0], strip(r[1].encode())) for r in sampled(usable.select("__declared", "__text"), "__text", sample)]
 
 
 def identify(
@@ -220,7 +254,7 @@ def url_suffix(url) -> F.Column:
 
 
 def declared_in(html) -> F.Column:
-    return F.regexp_extract(F.coalesce(html, F.lit("")), r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]{2})", 1)
+    return F.regexp_extract(F.coalesce(html, F.lit("")), r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]{2,8})", 1)
 
 
 def identify_pages(pages: DataFrame, **more) -> DataFrame:

@@ -1,4 +1,10 @@
+import math
 import random
+import re
+import time
+from collections import Counter
+
+import numpy as np
 
 from blockfuse.llm import langid
 
@@ -44,3 +50,86 @@ def test_evidence_decides_a_short_text(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert langid.identify_documents(df).count() == 0
+
+
+def fused(rows, model, languages):
+    """lang, posterior of rows (text, declared, suffix, host), by the formulas in plain Python."""
+    n, smooth = len(languages), langid.SMOOTH
+    scores, told = [], []
+    for text, *_ in rows:
+        at = langid.cells(text.encode() if text else None)
+        scores.append([sum(float(model[c][k]) for c in at) * min(1.0, langid.EVIDENCE / max(len(at), 1)) for k in range(n + 1)] if len(at) else None)
+    for s, (_, declared, suffix, host) in zip(scores, rows):
+        if s and max(s[:n]) > s[n]:
+            told.append((s.index(max(s[:n])), declared, suffix, host))
+    alls = [sum(m == k for m, *_ in told) for k in range(n)]
+    prior = [(a + 1) / (sum(alls) + n) for a in alls]
+    count = lambda key, k: sum(m == k and key(r) for m, *r in told)
+
+    def given(place, value, k):
+        if not value or not any(r[place] == value for _, *r in told):
+            return 0.0
+        share = (sum(r[place] == value for _, *r in told) + 1) / (sum(alls) + n)
+        return math.log((count(lambda r: r[place] == value, k) + smooth * share) / (alls[k] + smooth)) - math.log(share)
+
+    def by_host(suffix, host, k):
+        mine = [(m, r) for m, *r in told if r[2] == host and r[1] == suffix]
+        if not mine:
+            return math.log(prior[k])
+        near = [m for m, *r in told if r[1] == suffix]
+        back = (near.count(k) + smooth * prior[k]) / (len(near) + smooth)
+        return math.log((sum(m == k for m, _ in mine) + smooth * back) / (len(mine) + smooth))
+
+    out = []
+    for s, (_, declared, suffix, host) in zip(scores, rows):
+        if not s:
+            out.append(("und", 0.0))
+            continue
+        logs = [s[k] + given(0, declared, k) + given(1, suffix, k) + by_host(suffix, host, k) for k in range(n)] + [s[n] + math.log(1 / n)]
+        top = max(logs)
+        out.append(([*languages, "und"][logs.index(top)], 1 / sum(math.exp(x - top) for x in logs)))
+    return out
+
+
+def test_fusion_equals_plain_python(spark):
+    rnd = random.Random(4)
+    model = langid.fit([(r[4], r[1].encode()) for r in corpus(80)])
+    rows = [(r[1][: rnd.choice([1, 3, 8, 200])], rnd.choice(["de", "en", "xx", ""]), rnd.choice(["de", "com", ""]), f"h{rnd.randint(0, 4)}") for r in corpus()]
+    rows += [rows[0], rows[0], ("", "de", "de", "h1"), ("zzzzqqqq" * 20_000, "en", "com", "h2"), ("12", "", "", "")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, d string, s string, h string")
+    got = {r.i: (r.lang_id, r.lang_posterior) for r in langid.identify(df, "t", "d", "s", "h", model=model).collect()}
+    for i, (lang, p) in enumerate(fused(rows, model, langid.LANGUAGES)):
+        assert got[i][0] == lang and math.isclose(got[i][1], p, rel_tol=1e-6), (rows[i], got[i], lang, p)
+
+
+def test_declared_subtags(spark):
+    df = spark.createDataFrame([("est",), ("de-AT",), ("fra",), ("EN_us",), (None,), ("fry",)], "lang string")
+    rows = langid._rows(df, "lang", "lang", "lang", "lang")
+    assert [r["__declared"] for r in rows.collect()] == ["est", "de", "fr", "en", "", "fry"]
+
+
+_TAG = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+
+
+def test_markup_scanner_equals_the_pattern():
+    rnd = random.Random(6)
+    pieces = [b"<", b">", b"<!--", b"-->", b"<script", b"</script>", b"</SCRIPT >", b"<style>", b"</style\n>", b"a b", b"/", b"-", b" ", b"<p class=x>", b"<scripty>"]
+    for _ in range(5000):
+        html = b"".join(rnd.choices(pieces, k=rnd.randint(0, 14)))
+        assert langid.strip_markup(html) == _TAG.sub(b" ", html), html
+
+
+def test_markup_scanner_is_linear():
+    began = time.perf_counter()
+    for piece in (b"<!--", b"<script ", b"<", b"<style></script", b"</script" + b" " * 50):
+        langid.strip_markup(piece * (10_000_000 // len(piece)))
+    assert time.perf_counter() - began < 60
+
+
+def test_empty_pages_ties_and_repeats(spark):
+    assert langid.identify_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    flat = np.zeros((langid.CELLS, 5), np.float32)
+    flat[:, 4] = -9.0  # all languages tie, noise is far off
+    df = spark.createDataFrame([(1, "abc", None, "s"), (1, "abc", None, "s")], "doc_id long, text string, lang string, source string")
+    got = Counter(tuple(r) for r in langid.identify_documents(df, model=flat).select("doc_id", "lang_id", "accepted").collect())
+    assert got == {(1, "de", True): 2}
