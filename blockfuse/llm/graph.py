@@ -8,6 +8,7 @@ same result without the rounds' many small stages.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,10 +21,10 @@ from .common import materialize
 LOCAL_EDGES = 1 << 17
 
 
-def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parent: dict[int, int] = {}
+def _union_find(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    parent: dict = {}
 
-    def root(x: int) -> int:
+    def root(x):
         top = x
         while parent[top] != top:
             top = parent[top]
@@ -36,19 +37,19 @@ def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = root(parent.setdefault(u, u)), root(parent.setdefault(v, v))
             parent[max(a, b)] = min(a, b)
     nodes = list(parent)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["node", "component"]
-    )
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([root(x) for x in nodes], kind)], ["node", "component"])
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """Rows (node, component) of all nodes of ``edges`` (columns a, b: long); component: the least
+    """Rows (node, component) of all nodes of ``edges`` (columns a, b: long or binary); component: the least
     node that can be reached. Loops, repeated edges and edges in both directions are fine."""
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = materialize(e, "edges")
     seen = _state(e)
     if seen[0] <= LOCAL_EDGES:
-        return materialize(e.coalesce(1).mapInArrow(_union_find, "node long, component long"), "components")
+        kind = edges.schema["a"].dataType.simpleString()
+        settle = functools.partial(_union_find, kind=pa.binary() if kind == "binary" else pa.int64())
+        return materialize(e.coalesce(1).mapInArrow(settle, f"node {kind}, component {kind}"), "components")
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))

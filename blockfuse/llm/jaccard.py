@@ -4,22 +4,30 @@ A document is the set of its distinct ``words``-word shingles (64-bit hashes). T
 ``100 * |x & y| >= percent * |x | y|``. All sets are ordered by one global order, rare shingles first;
 the order comes from a fixed-size count sketch that is summed over the shingles of every document.
 
-* Documents of equal sets are one *class* (64 bits of BLAKE2b over the sorted hashes).
+* Documents of equal sets are one *class* (128 bits of BLAKE2b over the sorted hashes).
 * A class may use a prefix of level L: its first ``n - ceil(percent * n) + L`` shingles. Two classes
   that link share at least L shingles of their L-prefixes. L is chosen for each class: a longer
   prefix costs more list entries, but its candidates need L shared shingles; the class takes the L
   that minimises ``entries + VERIFY * entries / L``, entries being the sketch's frequencies in excess
   of the sketch's noise. A pair counts matches at the smaller of its two levels.
+* Most prefix shingles are in one class only. Packed by slices of the hash space, about six bytes an
+  entry, all entries pass once through the tasks that know which shingles at least two classes
+  hold; only those become list entries. Repeats of a class in other tasks are left out beforehand.
 * Lists of at most ``SMALL`` classes give all their pairs. A longer list (one passage in many
   documents, a large group of near copies) first gives one pair of each member with a hub, which is
   verified; as most members of such lists are thereby in one component, only pairs of members in
   *different* components remain. While their number is large, the members outside of a list's largest
-  component are paired with a few of its members (HUBS, drawn anew), and at last every pair that is left
-  is tried. So no link between components is lost, and no list is expanded
-  into all its pairs. Very frequent shingles are salted, so that a list spreads over tasks; its parts
-  meet again in the later rounds.
-* Candidates are verified on the whole sets, which only those classes send that have a candidate or are
-  in a long list.
+  component are paired with a few of its members (HUBS, drawn anew); what is left is compared within
+  the list by signatures, in tiles of at most ``TILE`` members. So no link between components is lost.
+  Very frequent shingles are salted, so that a list spreads over tasks; its parts meet again later.
+* The *signature* of a set: for each of B cells (B a power of two of at least n) the parity of the
+  number of its hashes there. Parities that differ are no more than the hashes that only one of
+  two sets has, so a pair with more of them than a link allows is passed over, and no link is. The
+  signature has a thirtieth to a sixtieth of the set's bytes; it folds to any smaller power of two.
+* What is left is verified on the whole sets, which only the classes of such pairs send.
+
+Words are hashed by tabulation: the sum of one random 64-bit value for each (place, byte); words of more
+than 64 bytes by XXH3. A shingle's hash is a polynomial in its words' hashes, mixed.
 
 Defined cases: words are runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z. A text of fewer words than
 ``words``, but not none, is one shingle, equal only to the same sequence; a null, empty or blank text
@@ -31,68 +39,55 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast, texts
+from .common import discard, materialize, maybe_broadcast, texts
 from .graph import components
 
 WORDS, PERCENT = 5, 75
 SKETCH_BITS = 20
+#: Bits of a shingle's hash that name its list, and entries that a slice of the hash space has on average at most.
+TOK_BITS, SLICE_ENTRIES = 48, 1 << 21
 #: Most members of a list that gives all its pairs; most hub rounds; highest prefix level.
-SMALL, ROUNDS, MOST_LEVEL = 8, 5, 8
-#: Members of a list's largest component that the others are paired with in a round.
-HUBS = 8
+SMALL, ROUNDS, MOST_LEVEL = 8, 4, 8
+#: Members of a list's largest component that the others are paired with in a round; rounds go on while more
+#: than so many pairs are left for each list entry and each halves them; members of a tile.
+HUBS, OPEN_PAIRS, TILE = 8, 64, 2048
 #: What verifying a candidate costs, in list entries.
 VERIFY = 4.0
 #: Estimated members of a list beyond which it is salted, and most salts.
 SALT_ROWS, MOST_SALTS = 1 << 15, 1 << 12
 _SKETCH_BLOCK = 1 << 14
-
+#: Entries of a task that are packed together.
+_CHUNK_ENTRIES = 1 << 20
 
 _M = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
-#: Texts are hashed together in chunks of about so many bytes.
-_CHUNK = 1 << 18
+#: Texts are hashed together in chunks of about so many bytes; words in runs of so many.
+_CHUNK, _RUN = 1 << 18, 1 << 16
+_LONG_WORD = 64
 
 
-def _splitmix(x: int) -> int:
-    x = (x + 0x9E3779B97F4A7C15) & _M
-    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _M
-    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _M
-    return x ^ (x >> 31)
+def _table() -> np.ndarray:
+    """Random values for each (place, byte), equal for the two cases of A-Z."""
+    out = np.random.Generator(np.random.PCG64(20)).integers(0, _M, (_LONG_WORD, 256), np.uint64, endpoint=True)
+    out[:, 0x41:0x5B] = out[:, 0x61:0x7B]
+    return out.ravel()
 
 
-_FOLDED = [b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)]
-_VALUE = np.array([_splitmix(b) for b in _FOLDED], np.uint64)
+_VALUE = _table()
 _BLANK = np.array([b in (0x20, 9, 10, 11, 12, 13) for b in range(256)])
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2^64, as many as have been asked for."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int):
-        if n > len(self.up):
-            size = max(n, 2 * len(self.up))
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                out = np.full(size, base, np.uint64)
-                out[0] = 1
-                np.multiply.accumulate(out, out=out)
-                setattr(self, name, out)
-        return self.up[:n], self.down
-
-
-_POWERS = _Powers()
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(32))
     h *= np.uint64(0xD6E8FEB86659FD93)
@@ -102,17 +97,21 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(first byte, hash) of each word: the words' bytes as digits of a number, modulo 2^64, mixed."""
+    """(first byte, hash) of each word."""
     raw = np.frombuffer(data, np.uint8)
-    blank = _BLANK[raw]
-    edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
-    first, end = edge[::2], edge[1::2]
-    up, down = _POWERS.upto(len(raw))
-    sums = np.empty(len(raw) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_VALUE[raw] * up, out=sums[1:])
-    h = (sums[end] - sums[first]) * down[first]
-    return first, _mixed(h + (end - first).astype(np.uint64) * np.uint64(_BASE))
+    edge = np.flatnonzero(np.diff(_BLANK[raw], prepend=True, append=True))
+    first, length = edge[::2], edge[1::2] - edge[::2]
+    h = np.empty(len(first), np.uint64)
+    for k in range(0, len(first), _RUN):
+        f, n = first[k : k + _RUN], np.minimum(length[k : k + _RUN], _LONG_WORD)
+        at = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(at, n)
+        value = _VALUE[(place << 8) | raw[np.repeat(f, n) + place]]
+        h[k : k + _RUN] = np.add.reduceat(value, at)
+    h = _mixed(h + length.astype(np.uint64) * np.uint64(_BASE))
+    for k in np.flatnonzero(length > _LONG_WORD).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(data[first[k] : first[k] + length[k]].lower())
+    return first, h
 
 
 def shingle_sets(found: Iterable[bytes | None], words: int = WORDS) -> Iterator[np.ndarray]:
@@ -150,8 +149,28 @@ def _sets(held: list[bytes], words: int) -> Iterator[np.ndarray]:
             yield np.empty(0, np.uint64)
 
 
-def class_id(hashes: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+def class_id(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def signature(hashes: np.ndarray) -> bytes:
+    """Parities of the numbers of hashes in each of B cells, 64 at least."""
+    cells = max(64, 1 << (len(hashes) - 1).bit_length())
+    at = (hashes & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=cells).astype(np.uint8) & 1).tobytes()
+
+
+def _folded(sig: np.ndarray, width: int) -> np.ndarray:
+    """Signatures (rows of 64-bit words) of as many cells as ``width`` words have."""
+    while sig.shape[-1] > width:
+        half = sig.shape[-1] // 2
+        sig = sig[..., :half] ^ sig[..., half:]
+    return sig
+
+
+def _need(na, nb, percent: int):
+    """The least number of shingles that linked sets of these sizes share."""
+    return -(-percent * (na + nb) // (100 + percent))
 
 
 def least_overlap(n, percent: int):
@@ -210,75 +229,174 @@ def choose_level(excess: np.ndarray, base: int) -> int:
     return int(np.argmin(entries + VERIFY * entries / level)) + 1
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers as byte planes, compressed."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpack(data: bytes, n: int, *kinds) -> list[np.ndarray]:
+    raw, out, at = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8), [], 0
+    for kind in kinds:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(kind).ravel())
+        at += n * width
+    return out
+
+
+#: A class's number: the task, the chunk in it, and its place there.
+_PLACE_BITS = 16
+_PREFIXES = "doc_id long, n long, cls binary, id long, sig binary, slice int, salted boolean, chunk long, entries int, members int, data binary, about binary"
+
+
 def prefixes(narrow: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Rows (doc_id, n, cls, ell, toks, salts); toks only in the first row of a class in each task."""
+    """A table of two kinds of rows. Documents: doc_id, n, cls, and for the first of a class in a chunk its id and
+    sig. Packed list entries: slice, salted, chunk, entries and data, that is (tok, member, pos) and for
+    salted ones the salt; members and about, that is (place, n, ell) of each."""
     noise = int(np.median(counts)) if counts.any() else 0
-    shipped = narrow.sparkSession.sparkContext.broadcast(np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
+    spark = narrow.sparkSession
+    shipped = spark.sparkContext.broadcast(np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
+    # slices: so many that each task's are small, and at least a few for each partition
+    expected = int(counts.sum()) * (100 - percent) // 100
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(24, max(expected // SLICE_ENTRIES, least - 1).bit_length())
+    kinds = pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()
+    names = [f.split()[0] for f in _PREFIXES.split(", ")]
+
+    def rows(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, often = set(), shipped.value
+        often, chunk = shipped.value, TaskContext.get().partitionId() << 16
+        seen, held, sizes, size = set(), [], [], 0
+
+        def packed():
+            tok, ref, pos, salt = (np.concatenate(c) for c in zip(*held, strict=True))
+            n, ell = (np.array(c, np.uint32) for c in zip(*sizes, strict=True))
+            route = np.where(salt > 0, _mixed(tok + salt.astype(np.uint64) * np.uint64(_BASE)) >> np.uint64(64 - TOK_BITS), tok)
+            part = (route >> np.uint64(TOK_BITS - bits)).astype(np.int64) * 2 + (salt > 0)
+            order = np.lexsort((tok, part))
+            tok, ref, pos, salt, part = (c[order] for c in (tok, ref, pos, salt, part))
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-2))
+            out = []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                step = np.diff(tok[a:b], prepend=np.uint64(0))
+                more = (salt[a:b],) if part[a] & 1 else ()
+                places, member = np.unique(ref[a:b], return_inverse=True)
+                data = _pack(step, member.astype(np.uint32), pos[a:b], *more)
+                about = _pack(np.diff(places, prepend=np.uint32(0)), n[places], ell[places])
+                out.append((None,) * 5 + (int(part[a]) >> 1, bool(part[a] & 1), chunk, b - a, len(places), data, about))
+            return rows(zip(*out, strict=True))
+
         for batch in batches:
-            rows: list = []
+            docs = []
             for s in shingle_sets(texts(batch.column("text")), words):
                 n = len(s)
                 if not n:
-                    rows.append((0, None, None, None, None))
+                    docs.append((0,) + (None,) * 10)
                     continue
                 cls = class_id(s)
                 if cls in seen:
-                    rows.append((n, cls, None, None, None))
+                    docs.append((n, cls) + (None,) * 9)
                     continue
+                ref = len(seen)
                 seen.add(cls)
                 freq = often[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 base = n - least_overlap(n, percent) + 1
                 order = np.argsort(freq, kind="stable")[: base + MOST_LEVEL - 1]
                 excess = np.maximum(freq[order].astype(np.float64) - noise, 0) + 1
                 ell = choose_level(excess, base)
-                order = order[: base + ell - 1]
-                parts = np.clip((freq[order].astype(np.int64) - 2 * noise) // SALT_ROWS, 0, MOST_SALTS) + 1
-                salts = np.where(parts > 1, 1 + (cls & 0xFFFFFF) % parts, 0).astype(np.int32)
-                rows.append((n, cls, ell, s[order].view(np.int64), salts))
-            n, cls, ell, toks, salts = zip(*rows, strict=True) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(n, pa.int64()),
-                    pa.array(cls, pa.int64()),
-                    pa.array(ell, pa.int32()),
-                    pa.array(toks, pa.list_(pa.int64())),
-                    pa.array(salts, pa.list_(pa.int32())),
-                ],
-                ["doc_id", "n", "cls", "ell", "toks", "salts"],
-            )
-
-    shape = "doc_id long, n long, cls long, ell int, toks array<long>, salts array<int>"
-    return materialize(narrow.mapInArrow(build, shape), "prefixes")
+                tok = s[order] >> np.uint64(64 - TOK_BITS)
+                if len(np.unique(tok)) < len(tok):  # matches can't be counted where two have one name: one is enough
+                    ell = 1
+                tok, freq = tok[: base + ell - 1], freq[order[: base + ell - 1]].astype(np.int64)
+                parts = np.clip((freq - 2 * noise) // SALT_ROWS, 0, MOST_SALTS) + 1
+                salt = np.where(parts > 1, 1 + int.from_bytes(cls[:4], "little") % parts, 0).astype(np.uint32)
+                held.append((tok, np.full(len(tok), ref, np.uint32), np.arange(len(tok), dtype=np.uint32), salt))
+                sizes.append((n, ell))
+                size += len(tok)
+                docs.append((n, cls, chunk << _PLACE_BITS | ref, signature(s)) + (None,) * 7)
+                if size >= _CHUNK_ENTRIES or len(seen) >= 1 << _PLACE_BITS:
+                    yield packed()
+                    chunk, seen, held, sizes, size = chunk + 1, set(), [], [], 0
+            if docs:
+                yield rows([batch.column("doc_id"), *zip(*docs, strict=True)])
+        if held:
+            yield packed()
+
+    return materialize(narrow.mapInArrow(build, _PREFIXES), "prefixes")
+
+
+def shared_entries(table: DataFrame, classes: DataFrame) -> DataFrame:
+    """List entries (tok, salt, id, n, pos, ell) of the shingles that two classes or more hold (or that are
+    salted), one for each class: all others stay packed."""
+    again = table.where("id is not null").select("id").join(classes.select("id"), "id", "left_anti")
+    place = F.col("id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
+    again = again.groupBy(F.shiftright("id", _PLACE_BITS).alias("chunk")).agg(F.collect_list(place).alias("again"))
+    again = materialize(again, "again")  # a row is bounded by its chunk
+    asked = table.where("slice is not null").select("slice", "salted", "chunk", "entries", "members", "data", "about")
+    held = again.agg(F.sum(F.size("again") * 4 + 40)).first()[0] or 0
+    asked = asked.join(F.broadcast(again) if held <= 32 << 20 else again, "chunk", "left")
+    slices = table.agg(F.max("slice")).first()[0]
+    dealt = asked.repartition(1 if slices is None else slices + 1, "slice").sortWithinPartitions("slice")
+    names, kinds = ["tok", "salt", "id", "n", "pos", "ell"], (np.int64, np.int32, np.int64, np.int32, np.int32, np.int32)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def rows(*columns):
+            for k in range(0, len(columns[0]), 1 << 16):
+                part = slice(k, k + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(c[part].astype(t)) for c, t in zip(columns, kinds, strict=True)], names)
+
+        def shared():
+            tok, salt, *rest = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.argsort(tok, kind="stable")
+            tok = tok[order]
+            same = np.zeros(len(tok), bool)
+            same[1:] = tok[1:] == tok[:-1]
+            same[:-1] |= same[1:]
+            order = order[same]
+            return rows(tok[same], salt[order], *(c[order] for c in rest))
 
-
-_MEETINGS = "kind int, tok long, a long, b long, n int, pos int, ell int, sure boolean"
-
-
-def meetings(table: DataFrame, percent: int) -> DataFrame:
+        for batch in batches:
+            for number, salted, chunk, entries, members, data, about, again in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+                if number != now:
+                    if held:
+                        yield from shared()
+                    now, held = number, []
+                step, member, pos, *salt = _unpack(data, entries, np.uint64, np.uint32, np.uint32, *([np.uint32] if salted else []))
+                places, n, ell = _unpack(about, members, np.uint32, np.uint32, np.uint32)
+                places = np.cumsum(places)
+                tok, salt = np.cumsum(step, dtype=np.uint64), salt[0] if salted else np.zeros(entries, np.uint32)
+                found = tok, salt, (chunk << _PLACE_BITS | places.astype(np.int64))[member], n[member], pos, ell[member]
+                if again:
+                    stay = ~np.isin(places, np.array(again))[member]
+                    found = tuple(c[stay] for c in found)
+                if salted:
+                    yield from rows(*found)
+                elif len(found[0]):
+                    held.append(found)
+        if held:
+            yield from shared()
+
+    columns = ["slice", "salted", "chunk", "entries", "members", "data", "about", "again"]
+    return dealt.select(*columns).mapInArrow(pick, "tok long, salt int, id long, n int, pos int, ell int")
+
+
+_MEETINGS = "kind int, tok long, a long, b long, ell int, sure boolean"
+
+
+def meetings(entries: DataFrame, percent: int) -> DataFrame:
     """What the lists give: rows of kind 0 (a pair a, b of a short list with the pair's level ell), 1 (hub
-    a, member b) and 2 (a long list's member a with its n, pos and ell). A part of a salted list counts
-    as long, however many members it has.
+    a, member b) and 2 (a long list's member a). A part of a salted list counts as long, however many members
+    it has.
 
     A pair is passed over where its positions in the two orders leave too few shingles for the
     overlap it needs: of the first L shared shingles, the i-th (from 0) leaves at least that less i.
     ``sure`` marks what the first one fulfils."""
-    listed = table.where("toks is not null").select(
-        "cls", "n", "ell", F.posexplode(F.arrays_zip("toks", "salts")).alias("pos", "t")
-    )
-    listed = listed.select(
-        F.col("t.toks").alias("tok"),
-        F.col("t.salts").alias("salt"),
-        "cls",
-        F.col("n").cast("int").alias("n"),
-        F.col("pos").cast("int").alias("pos"),
-        "ell",
-    )
-    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = listed.repartition(parts, "tok", "salt").sortWithinPartitions("tok", "salt", "cls")
+    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = entries.repartition(parts, "tok", "salt").sortWithinPartitions("tok", "salt", "id", "pos")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # the list being read, up to SMALL + 1 members
@@ -298,18 +416,18 @@ def meetings(table: DataFrame, percent: int) -> DataFrame:
                     room = min(na - pa_, nb - pb)
                     most = -(-percent * na // 100), -(-percent * nb // 100)
                     if room >= need - ell + 1 and pa_ <= na - most[0] + ell - 1 and pb <= nb - most[1] + ell - 1:
-                        out.append((0, key[0], ca, cb, 0, 0, ell, room >= need))
+                        out.append((0, key[0], ca, cb, ell, room >= need))
 
         def linked(member):
-            out.append((2, key[0], member[0], None, *member[1:], None))
+            out.append((2, key[0], member[0], None, None, None))
             hub = held[0]
             need = -(-percent * (hub[1] + member[1]) // (100 + percent))
             if member is not hub and min(hub[1] - hub[2], member[1] - member[2]) >= need - MOST_LEVEL:
-                out.append((1, None, hub[0], member[0], 0, 0, 0, None))
+                out.append((1, None, hub[0], member[0], None, None))
 
         def rows():
             names = [f.split()[0] for f in _MEETINGS.split(", ")]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names
             )
@@ -330,7 +448,7 @@ def meetings(table: DataFrame, percent: int) -> DataFrame:
                     if not long_list and held:
                         pairs()
                     held, long_list, key, last = [], False, (t, s), None
-                if cls == last:  # the same class from another task
+                if cls == last:  # a class of which two shingles have one name
                     continue
                 last = cls
                 member = (cls, n, pos, ell)
@@ -370,19 +488,42 @@ def candidates(met: DataFrame) -> DataFrame:
     return order(hubs).unionByName(order(short.where("enough"))).unionByName(order(rest)).distinct()
 
 
-_NO_ID = -(1 << 63)
 
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) those that link as far as the signatures tell."""
+    x = classes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
+    y = classes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+    y = y.join(maybe_broadcast(pairs.select("b").distinct(), 16), "b", "left_semi")
+    both = y.join(x.join(maybe_broadcast(pairs, 32), "a"), "b").select("a", "b", "na", "nb", "sa", "sb")
 
-def whole_sets(narrow: DataFrame, table: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Table (cls, s): the whole sets of the wanted classes, each sent by its document of least id (rows
-    of one class that share this id send it once each, which repeats links but adds none)."""
-    known = F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id")
-    senders = table.select("cls", known).join(wanted.distinct(), "cls", "left_semi")
-    senders = materialize(senders.groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "senders")
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, sa, sb in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
+                width = min(len(x), len(y))
+                apart = int(np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum())
+                keep.append(apart <= na + nb - 2 * _need(na, nb, percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return materialize(both.mapInArrow(test, "a long, b long"), "possible")
+
+
+def whole_sets(narrow: DataFrame, table: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """Table (id, s): the whole sets of the wanted classes, each sent by its document of least id (rows of one
+    class that share this id send it once each, which repeats links but adds none). Only the texts of
+    senders are hashed again; rows without id, which no key can tell apart, all are."""
+    known = classes.select("id", "cls").join(maybe_broadcast(wanted.distinct(), 16), "id", "left_semi")
+    rows = table.where("cls is not null").select("cls", "doc_id")
+    senders = rows.join(maybe_broadcast(materialize(known, "known"), 40), "cls")
+    senders = materialize(senders.groupBy("cls", "id").agg(F.min("doc_id").alias("doc_id")), "senders")
+    anonymous = senders.where("doc_id is null").select("cls", "id")
+    named = senders.where("doc_id is not null")
+    texts_of = narrow.join(maybe_broadcast(named.select("doc_id").distinct(), 16), "doc_id", "left_semi")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            columns = pa.array(docs, pa.int64()), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())
+            columns = pa.array(docs, pa.int64()), pa.array(ids, pa.binary()), pa.array(sets, pa.binary())
             return pa.RecordBatch.from_arrays(list(columns), ["doc_id", "cls", "s"])
 
         for batch in batches:
@@ -390,7 +531,7 @@ def whole_sets(narrow: DataFrame, table: DataFrame, wanted: DataFrame, words: in
             for doc, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts(batch.column("text")), words), strict=True):
                 if not len(s):
                     continue
-                docs.append(_NO_ID if doc is None else doc)
+                docs.append(doc)
                 ids.append(class_id(s))
                 sets.append(s.tobytes())
                 waiting += len(sets[-1])
@@ -400,8 +541,15 @@ def whole_sets(narrow: DataFrame, table: DataFrame, wanted: DataFrame, words: in
             if ids:
                 yield rows()
 
-    sets = narrow.mapInArrow(send, "doc_id long, cls long, s binary")
-    return materialize(sets.join(maybe_broadcast(senders, 60), ["cls", "doc_id"], "left_semi").select("cls", "s"), "sets")
+    shape = "doc_id long, cls binary, s binary"
+    sets = texts_of.select("doc_id", "text").mapInArrow(send, shape)
+    sets = sets.join(maybe_broadcast(named, 60), ["cls", "doc_id"]).select("id", "s")
+    if anonymous.head(1):
+        more = narrow.where("doc_id is null").select("doc_id", "text").mapInArrow(send, shape)
+        more = more.join(maybe_broadcast(anonymous, 40), "cls").select("id", "s")
+        # classes of rows without id may be sent by each of them
+        sets = sets.unionByName(more.groupBy("id").agg(F.first("s").alias("s")))
+    return materialize(sets, "sets")
 
 
 def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -421,92 +569,155 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     # only sets that a pair names are moved: the pairs come to the sets where they are few
-    known = maybe_broadcast(pairs.select("a", "b"), 40)
-    left = sets.select(F.col("cls").alias("a"), F.col("s").alias("sa")).join(known, "a")
-    right = sets.select(F.col("cls").alias("b"), F.col("s").alias("sb"))
-    right = right.join(maybe_broadcast(pairs.select("b").distinct(), 40), "b", "left_semi")
+    known = maybe_broadcast(pairs.select("a", "b"), 32)
+    left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).join(known, "a")
+    right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+    right = right.join(maybe_broadcast(pairs.select("b").distinct(), 16), "b", "left_semi")
     both = left.join(right, "b").select("a", "b", "sa", "sb")
     return materialize(both.mapInArrow(compare, "a long, b long"), "links")
 
 
-def _settle(member: DataFrame, tried: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``found`` with the links between different components that long lists still hide."""
-    for step in range(ROUNDS):
-        parts = components(found)
-        at = member.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
-        at = materialize(at.withColumn("component", F.coalesce("component", "cls")), "members")
-        split = at.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        split = materialize(split.where("lo < hi").select("tok"), "split")
-        at = materialize(at.join(maybe_broadcast(split, 40), "tok"), "unsettled")
-        sizes = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
-        open_ = F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m"))
-        left, n = sizes.agg(open_.alias("p"), F.sum("m").alias("m")).agg(F.sum("p") / 2, F.sum("m")).first()
-        if not n:
-            return found
-        last = step == ROUNDS - 1 or left <= n + 50_000
-        x = at.select(
-            "tok", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-            F.col("ell").alias("ea"), F.col("component").alias("ca"),
-        )
-        y = at
-        if not last:  # hubs are drawn by hashes, so that the lists of a group draw the same ones
-            largest = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
-            largest = largest.agg(F.max_by("component", F.struct("m", "component")).alias("big"))
-            marked = materialize(at.join(largest, "tok"), "marked")
-            row = F.struct("cls", "n", "pos", "ell", "component")
-            drawn = [F.min_by(row, F.xxhash64("cls", F.lit(step * HUBS + k))) for k in range(HUBS)]
-            y = marked.where("component = big").groupBy("tok").agg(F.array_distinct(F.array(*drawn)).alias("h"))
-            y = y.select("tok", F.explode("h").alias("h")).select("tok", "h.*")
-            x = marked.where("component <> big")
-            x = x.select(
-                "tok", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-                F.col("ell").alias("ea"), F.col("component").alias("ca"),
-            )
-        y = y.select(
-            "tok", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
-            F.col("ell").alias("eb"), F.col("component").alias("cb"),
-        )
-        ell, share = F.least("ea", "eb"), F.lit(percent)
-        need = F.ceil(share * (F.col("na") + F.col("nb")) / (100 + percent))
-        room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-        inside = lambda p, n: F.col(p) <= F.col(n) - F.ceil(share * F.col(n) / 100) + ell - 1
-        keep = (room >= need - ell + 1) & inside("pa", "na") & inside("pb", "nb")
-        differ = (F.col("ca") < F.col("cb")) if last else (F.col("ca") != F.col("cb"))
-        more = x.join(y, "tok").where(differ & keep)
-        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), ell.alias("ell"), (room >= need).alias("sure"))
-        more = more.groupBy("a", "b").agg(F.count("*").alias("m"), F.min("ell").alias("ell"), F.bool_or("sure").alias("sure"))
-        if last:  # a pair that also shares a short list has been verified: these are all its shared shingles
-            more = more.where("m >= ell and sure")
-        more = materialize(more.select("a", "b").join(tried, ["a", "b"], "left_anti"), "more")
-        found = found.unionByName(verified(sets, more, percent))
-        if last:
-            return found
-        tried = tried.unionByName(more)
-    return found
+def _open(member: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (tok, id, component) of the long lists that are in more than one component."""
+    at = member.join(components(found).withColumnRenamed("node", "id"), "id", "left")
+    at = materialize(at.withColumn("component", F.coalesce("component", "id")), "members")
+    split = at.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    split = materialize(split.where("lo < hi").select("tok"), "split")
+    out = materialize(at.join(maybe_broadcast(split, 16), "tok"), "unsettled")
+    discard(at, split)
+    return out
+
+
+def _hub_pairs(at: DataFrame, step: int) -> DataFrame:
+    """Pairs of members outside of a list's largest component with HUBS of its members, drawn by hashes, so
+    that the lists of a group draw the same ones."""
+    largest = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
+    largest = largest.agg(F.max_by("component", F.struct("m", "component")).alias("big"))
+    marked = materialize(at.join(largest, "tok"), "marked")
+    drawn = [F.min_by("id", F.xxhash64("id", F.lit(step * HUBS + k))) for k in range(HUBS)]
+    hubs = marked.where("component = big").groupBy("tok").agg(F.array_distinct(F.array(*drawn)).alias("h"))
+    pairs = marked.where("component <> big").join(hubs, "tok").select("id", F.explode("h").alias("h"))
+    return pairs.select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
+
+
+def _tile_pairs(at: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a list in different components that the signatures and sizes let link.
+
+    Lists of nearly the same members are compared as one: a list's key is the least of its members' hashes,
+    and all members of the lists of a key make a group. A pair is given by the first group that both are in. A
+    group of more than TILE members is cut into parts, each pair of which is a tile of its own."""
+    keys = at.groupBy("tok").agg(F.min(F.xxhash64("id")).alias("key"))
+    grouped = materialize(at.join(keys, "tok").select("key", "id", "component").distinct(), "grouped")
+    mine = grouped.groupBy("id", "component").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # bounded by the prefix
+    about = materialize(mine.join(classes.select("id", "n", "sig"), "id"), "about")
+    cut = grouped.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("g")).where("g > 1")
+    rows = grouped.select("key", "id").join(maybe_broadcast(materialize(cut, "cut"), 16), "key", "left")
+    g = F.coalesce("g", F.lit(1))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("id", F.lit(1)), g).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
+    tile = F.least("mine", "other") * F.lit(1 << 20) + F.greatest("mine", "other")
+    rows = rows.select("key", tile.alias("tile"), "mine", "id").join(about, "id")
+    rows = rows.select("key", "tile", "mine", "id", "component", "n", "sig", "keys")
+    parts = int(at.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, "key", "tile").sortWithinPartitions("key", "tile")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:2] != now:
+                    if held:
+                        yield from _tile(held, *now, percent)
+                    now, held = row[:2], []
+                held.append(row[2:])
+        if held:
+            yield from _tile(held, *now, percent)
+
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _tile(rows: list, key: int, tile: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that may link within a tile of group ``key``, of members (part, id, component, n, sig, keys)."""
+    across = tile >> 20 != tile & ((1 << 20) - 1)
+    rows.sort(key=lambda r: len(r[4]))
+    mine, ids, of, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+    width = np.array([len(r[4]) // 8 for r in rows])
+    before = [frozenset(r[5][: bisect_left(r[5], key)]) for r in rows]
+    for w in np.unique(width).tolist():
+        # sets of linked classes differ in size by a third at most, so their signatures by one fold
+        a = np.flatnonzero(width == w)
+        b = np.flatnonzero((width == w) | (width == 2 * w))
+        sa = np.stack([np.frombuffer(rows[k][4], np.uint64) for k in a])
+        sb = np.stack([_folded(np.frombuffer(rows[k][4], np.uint64), w) for k in b])
+        block = max(1, (1 << 20) // (len(b) * w))
+        for k in range(0, len(a), block):
+            x = a[k : k + block]
+            may = (of[x][:, None] != of[b][None, :]) & (x[:, None] < b[None, :])
+            if across:
+                may &= mine[x][:, None] != mine[b][None, :]
+            if not may.any():
+                continue
+            apart = np.bitwise_count(sa[k : k + block][:, None, :] ^ sb[None, :, :]).sum(axis=2, dtype=np.int64)
+            both = n[x][:, None] + n[b][None, :]
+            may &= apart <= both - 2 * -(-percent * both // (100 + percent))
+            i, j = np.nonzero(may)
+            first = [before[p].isdisjoint(before[q]) for p, q in zip(x[i].tolist(), b[j].tolist(), strict=True)]
+            if any(first):
+                one, two = ids[x[i]][first], ids[b[j]][first]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
 
 
 def links(docs: DataFrame, doc_id: str, text_col: str, words: int = WORDS, percent: int = PERCENT):
-    """(rows, links): rows (doc_id, n, cls) of every document, and verified links (a, b) of classes
-    whose components are those of the full join."""
+    """(rows, classes, links): rows (doc_id, n, cls) of every document, the numbers (cls, id) of the classes, and
+    verified links (a, b) of such numbers whose components are those of the full join."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = prefixes(narrow, sketch(narrow, words), words, percent)
-    met = meetings(table, percent)
+    rows = table.where("slice is null").select("doc_id", "n", "cls")
+    classes = table.where("id is not null").groupBy("cls").agg(F.min(F.struct("id", "n", "sig")).alias("c"))
+    classes = materialize(classes.select("cls", "c.*"), "classes")
+    met = meetings(shared_entries(table, classes), percent)
     tried = materialize(candidates(met), "tried")
-    member = materialize(met.where("kind = 2").select("tok", F.col("a").alias("cls"), "n", "pos", "ell").distinct(), "listed")
-    wanted = tried.select(F.col("a").alias("cls")).unionByName(tried.select(F.col("b").alias("cls")))
-    sets = whole_sets(narrow, table, wanted.unionByName(member.select("cls")), words)
-    found = _settle(member, tried, verified(sets, tried, percent), sets, percent)
-    return table.select("doc_id", "n", "cls"), found
+    member = materialize(met.where("kind = 2").select("tok", F.col("a").alias("id")).distinct(), "listed")
+    discard(met)
+
+    def check(pairs: DataFrame, tested: bool = False) -> DataFrame:
+        """The links among pairs."""
+        pairs = pairs if tested else possible(pairs, classes, percent)
+        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+        sets = whole_sets(narrow, table, classes, wanted, words)
+        out = verified(sets, pairs, percent)
+        discard(sets, pairs)
+        return out
+
+    found, before = check(tried), float("inf")
+    for step in range(ROUNDS + 1):
+        at = _open(member, found)
+        sizes = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
+        open_ = F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m"))
+        left, n = sizes.agg(open_.alias("p"), F.sum("m").alias("m")).agg(F.sum("p") / 2, F.sum("m")).first()
+        if not n:
+            break
+        # hubs as long as they help
+        last, before = step == ROUNDS or left <= OPEN_PAIRS * n or 2 * left > before, left
+        more = _tile_pairs(at, classes, percent) if last else _hub_pairs(at, step)
+        more = materialize(more.join(tried, ["a", "b"], "left_anti"), "more")
+        found = found.unionByName(check(more, tested=last))
+        discard(at)
+        if last:
+            break
+        tried = tried.unionByName(more)
+    return rows, classes.select("cls", "id"), found
 
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id of its component)."""
-    rows, found = links(docs, doc_id, text_col, words, percent)
-    parts = components(found)
-    at = rows.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
-    at = at.withColumn("component", F.coalesce("component", "cls"))
+    rows, classes, found = links(docs, doc_id, text_col, words, percent)
+    # what is linked goes by the class of the least number, all else by its own
+    parts = components(found).join(classes.withColumnRenamed("id", "node"), "node").select("cls", "component")
+    name = classes.select(F.col("id").alias("component"), F.col("cls").alias("whole"))
+    at = rows.join(parts.join(name, "component").select("cls", "whole"), "cls", "left")
+    at = at.withColumn("component", F.coalesce("whole", "cls"))
     first = at.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("first"))
     return at.join(first, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("first", "doc_id").alias("component_id")
