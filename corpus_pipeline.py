@@ -1,8 +1,13 @@
 """Corpus pipeline: five stages from raw documents to a training mix.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread
-as the next stage's docs. Documents are known by doc_id; rows without one are kept by the stages that
-drop documents by id. Work tables of a stage are deleted when the next one begins.
+as the next stage's docs. Work tables of a stage are deleted when the next one begins.
+
+Every row is a document of its own: stages that drop documents know rows by file and place, so rows of one
+id or without id are judged each by its own text. Null, empty and blank texts have no letters and go in the
+first stage (a later stage that meets them keeps them). Of equal rows one stays, of tied ones that
+with the least id (null last). An empty table gives an empty result. Extra columns are carried through;
+the last stage's four columns replace those of the same name.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockfuse.llm import decontaminate, jaccard, langid, linededup, mixing
-from blockfuse.llm.common import materialize, maybe_broadcast, read_table, release, work_scope
+from blockfuse.llm.common import materialize, maybe_broadcast, read_table, release, with_row_numbers, work_scope
 
 
 def _stage(f):
@@ -27,10 +32,13 @@ def _stage(f):
     return run_stage
 
 
+_ROW = "__row"
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the ids in gone (a narrow result, written first)."""
-    gone = materialize(gone.select("doc_id").where("doc_id is not null").distinct(), "gone")
-    return docs.join(maybe_broadcast(gone, 40), "doc_id", "left_anti").select(*docs.columns)
+    """docs (with row numbers) without the rows in gone (a narrow result, written first)."""
+    gone = materialize(gone.select(_ROW), "gone")
+    return docs.join(maybe_broadcast(gone, 24), _ROW, "left_anti").drop(_ROW)
 
 
 @_stage
@@ -50,27 +58,30 @@ def line_dedup(spark, docs, sf_dir):
 
 @_stage
 def near_duplicates(spark, docs, sf_dir):
-    """Of each group of linked documents the one with the smallest id stays."""
-    found = jaccard.near_duplicates(docs)
-    return _without(docs, found.where("component_id <> doc_id"))
+    """Of each group of linked documents the one with the smallest id (null last, then the first row) stays."""
+    docs = with_row_numbers(docs, _ROW)
+    found = materialize(jaccard.near_duplicates(docs, _ROW).where("n_shingles > 0").select(F.col("doc_id").alias(_ROW), "component_id"), "found")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _ROW)
+    groups = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    members = found.join(maybe_broadcast(materialize(groups, "groups"), 24), "component_id")
+    members = materialize(members, "group_members")
+    members = docs.select(_ROW, "doc_id").join(maybe_broadcast(members, 40), _ROW)
+    first = members.groupBy("component_id").agg(F.min(place)[_ROW].alias("first"))
+    return _without(docs, members.join(first, "component_id").where(F.col("first") != F.col(_ROW)))
 
 
 @_stage
 def decontamination(spark, docs, sf_dir):
     """Drops documents that hold too much of a benchmark."""
-    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    docs = with_row_numbers(docs, _ROW)
+    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"), _ROW)
+    return _without(docs, found.where("contaminated").select(F.col("doc_id").alias(_ROW)))
 
 
 @_stage
 def mix_sources(spark, docs, sf_dir):
     """The mix: documents that it takes, with size, source_size, target and taken (words, with repeats)."""
-    told = mixing.mix(docs).where("taken > 0").groupBy("doc_id").agg(
-        *[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")]
-    )
-    told = materialize(told, "mix").withColumnRenamed("doc_id", "__id")
-    keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    return docs.select(*keep).join(told, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+    return mixing.mix_rows(docs).where("taken > 0")
 
 
 STAGES = [
