@@ -2,9 +2,9 @@
 
 A theta join would plan as a nested loop. Instead every distinct address is expanded to the block that
 contains it at each prefix length which occurs on the other side (33 at most, collected), and joined on
-(bits, first address); ranges are first cut into blocks. The block side is broadcast only if its
-counted size is small; otherwise the join shuffles on the block, and adaptive execution splits
-skewed partitions.
+(bits, first address); ranges are first cut into blocks. The blocks are written once, as they are counted
+and joined; that side is broadcast only if its counted size is small, otherwise the join shuffles on the
+block, and adaptive execution splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ip
+from .boundary import settled
 
 #: Rows up to which a block side is broadcast.
 BROADCAST_ROWS = 200_000
@@ -39,25 +40,30 @@ def longest_prefix(addresses: DataFrame, feed: DataFrame, payload: list[str], or
 
     ``feed``: bits, ip_start, ip_end (a block written with host bits covers ip_start..ip_end only), the
     payload, and ``order``, of which the least row wins among equally long blocks."""
-    blocks = feed.withColumn("base", ip.masked(F.col("ip_start"), F.col("bits")))
+    blocks = settled(feed.withColumn("base", ip.masked(F.col("ip_start"), F.col("bits"))))
     best = F.struct((-F.col("bits")).alias("b"), *order)
-    hits = _expanded(addresses, _lengths(feed)).join(_sized(blocks), ["bits", "base"])
+    hits = _expanded(addresses, _lengths(blocks)).join(_sized(blocks), ["bits", "base"])
     hits = hits.where("addr between ip_start and ip_end")
     picked = hits.groupBy("addr").agg(F.min_by(F.struct("bits", *payload), best).alias("p"))
     return picked.select("addr", F.col("p.bits").alias("matched_bits"), *[F.col(f"p.{c}").alias(c) for c in payload])
 
 
-def disjoint(ranges: DataFrame, order: list[str], segment: str | None = None) -> DataFrame:
+def disjoint(ranges: DataFrame, order: list[str]) -> DataFrame:
     """Ranges of which each address belongs to the one with the greatest start at or before it: ends are
-    cut at the next start; of equal starts the last by ``order`` stays. ``segment``: a column (such as a
-    registry) within which starts are compared; the window is over the whole table without it, which
-    suits registries of bounded size."""
-    by = [segment] if segment else []
-    last = F.max(F.struct(*order, "ip_end", *[c for c in ranges.columns if c not in {"ip_start", "ip_end", *order, *by}]))
-    one = ranges.where("ip_start <= ip_end").groupBy(*by, "ip_start").agg(last.alias("r")).select(*by, "ip_start", "r.*")
-    w = Window.partitionBy(*by).orderBy("ip_start")
-    end = F.least("ip_end", F.coalesce(F.lead("ip_start").over(w) - 1, F.col("ip_end")))
-    return one.withColumn("ip_end", end)
+    cut at the next start; of equal starts the last by ``order`` stays.
+
+    Starts are compared within cells of 2^16 addresses; the last of a cell is cut by the first start of
+    the next cell that has any, which a table of one row a cell (2^16 at most) tells."""
+    carried = [c for c in ranges.columns if c not in {"ip_start", "ip_end", *order}]
+    last = F.max(F.struct(*order, "ip_end", *carried))
+    one = ranges.where("ip_start <= ip_end").groupBy("ip_start").agg(last.alias("r")).select("ip_start", "r.*")
+    one = one.withColumn("__cell", F.shiftright("ip_start", 16))
+    cells = one.groupBy("__cell").agg(F.min("ip_start").alias("__first"))
+    cells = cells.select("__cell", F.lead("__first").over(Window.orderBy("__cell")).alias("__beyond"))
+    following = F.lead("ip_start").over(Window.partitionBy("__cell").orderBy("ip_start"))
+    out = one.withColumn("__next", following).join(F.broadcast(cells), "__cell")
+    end = F.least("ip_end", F.coalesce(F.col("__next") - 1, F.col("__beyond") - 1, F.col("ip_end")))
+    return out.withColumn("ip_end", end).drop("__cell", "__next", "__beyond")
 
 
 def as_blocks(ranges: DataFrame) -> DataFrame:
@@ -68,7 +74,7 @@ def as_blocks(ranges: DataFrame) -> DataFrame:
 
 def point_in_range(addresses: DataFrame, ranges: DataFrame, payload: list[str]) -> DataFrame:
     """(addr, payload...) of the range that holds each distinct address; ranges do not overlap."""
-    blocks = as_blocks(ranges)
+    blocks = settled(as_blocks(ranges))
     hits = _expanded(addresses, _lengths(blocks)).join(_sized(blocks), ["bits", "base"])
     return hits.select("addr", *payload)
 

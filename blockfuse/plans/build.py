@@ -71,20 +71,41 @@ def blocks(seed: DataFrame, split_cis: bool = False) -> DataFrame:
     return out.select("*", F.col("b.addr").alias("addr"), F.col("b.bits").alias("bits")).drop("b", "ip_start", "ip_end")
 
 
+def resolve(rows: DataFrame, inputs: Inputs) -> DataFrame:
+    """What the donors and the registry say of each distinct address of ``rows``, in one written table: addr, and a
+    struct for each of gf, mm, i2, sx (null without a record), and cc."""
+    at = settled(rows.select("addr").where("addr is not null").distinct())
+    found = at
+    if inputs.geofeed is not None:
+        payload = ["country", "state", "city", "postal"]
+        hits = joins.longest_prefix(at, inputs.geofeed, payload, ["file", "line"])
+        found = found.join(hits.select("addr", F.struct(*payload).alias("gf")), "addr", "left")
+    points = {
+        "mm": (inputs.maxmind, ["city", "country", "subdivisions", "postal", "location"]),
+        "i2": (inputs.ip2loc, ["country_short", "region", "city", "zipcode", "latitude", "longitude"]),
+        "sx": (inputs.sypex, ["country_iso", "city_en", "city_ru", "region_en", "latitude", "longitude"]),
+    }
+    for name, (donor, payload) in points.items():
+        if donor is not None:
+            hits = joins.point_in_range(at, donor, payload)
+            found = found.join(hits.select("addr", F.struct(*payload).alias(name)), "addr", "left")
+    if inputs.registry is not None:
+        found = found.join(joins.as_of_range(at, inputs.registry, ["cc"], ["file", "line"]), "addr", "left")
+    return settled(found)
+
+
 def gather(rows: DataFrame, inputs: Inputs) -> DataFrame:
-    """``rows`` (blocks) with the array of opinions: seed, geofeed, maxmind, ip2loc, sypex, in this order."""
+    """``rows`` (blocks) with the array of opinions: seed, geofeed, maxmind, ip2loc, sypex, in this order, and cc
+    where there is a registry. All donors are looked up once for each address; the blocks meet the result in
+    one join."""
     none, no = F.lit(""), F.lit(0.0)
     country = F.col("country")
+    rows = rows.join(resolve(rows, inputs), "addr", "left")
     slots = [consensus.candidate("dbip", country, F.col("state"), F.col("city"), none, none, F.col("lat"), F.col("lon"), F.col("has_coords"))]
     if inputs.geofeed is not None:
-        found = joins.longest_prefix(rows, inputs.geofeed, ["country", "state", "city", "postal"], ["file", "line"])
-        rows = rows.join(found.select("addr", F.struct("country", "state", "city", "postal").alias("gf")), "addr", "left")
         c = F.col("gf")
         slots.append(F.when(c.isNotNull(), consensus.candidate("geofeed", c["country"], c["state"], c["city"], none, c["postal"], no, no, F.lit(False))))
     if inputs.maxmind is not None:
-        payload = ["city", "country", "subdivisions", "postal", "location"]
-        found = joins.point_in_range(rows, inputs.maxmind, payload).select("addr", F.struct(*payload).alias("mm"))
-        rows = rows.join(found, "addr", "left")
         c = F.col("mm")
         own = F.coalesce(F.nullif(c["country"]["iso_code"], none), country)
         lat, lon = F.coalesce(c["location"]["latitude"], no), F.coalesce(c["location"]["longitude"], no)
@@ -93,18 +114,12 @@ def gather(rows: DataFrame, inputs: Inputs) -> DataFrame:
         # an address without a record is an opinion without content, which is dropped later
         slots.append(consensus.candidate("maxmind", own, state, city, none, c["postal"]["code"], lat, lon, (lat != 0) | (lon != 0)))
     if inputs.ip2loc is not None:
-        payload = ["country_short", "region", "city", "zipcode", "latitude", "longitude"]
-        found = joins.point_in_range(rows, inputs.ip2loc, payload).select("addr", F.struct(*payload).alias("i2"))
-        rows = rows.join(found, "addr", "left")
         c = F.col("i2")
         own = F.upper(text.trim(F.coalesce(c["country_short"], none)))
         own = F.when(own.isin("", "-"), country).otherwise(own)
         lat, lon = (F.coalesce(c[k].cast("double"), no) for k in ("latitude", "longitude"))
         slots.append(consensus.candidate("ip2loc", own, c["region"], c["city"], none, c["zipcode"], lat, lon, (lat != 0) | (lon != 0)))
     if inputs.sypex is not None:
-        payload = ["country_iso", "city_en", "city_ru", "region_en", "latitude", "longitude"]
-        found = joins.point_in_range(rows.where(country.isin(*fixed.CIS)), inputs.sypex, payload)
-        rows = rows.join(found.select("addr", F.struct(*payload).alias("sx")), "addr", "left")
         c = F.col("sx")
         own = F.coalesce(F.nullif(F.upper(c["country_iso"]), none), country)
         lat, lon = F.coalesce(c["latitude"], no), F.coalesce(c["longitude"], no)
@@ -119,19 +134,15 @@ def gather(rows: DataFrame, inputs: Inputs) -> DataFrame:
 
 def build(inputs: Inputs, built_at: str = "", cfg: consensus.Config = consensus.DEFAULT) -> DataFrame:
     """One row for each block: COLUMNS as the release file has them, before formatting, and sources."""
-    rows = gather(blocks(inputs.seed, split_cis=inputs.sypex is not None), inputs)
+    rows = gather(settled(blocks(inputs.seed, split_cis=inputs.sypex is not None)), inputs)
+    rows = rows.withColumn("registry", F.coalesce("cc", "country") if inputs.registry is not None else F.col("country"))
     rows = consensus.merge(rows, cfg=cfg)
     m = F.col("merged")
     rows = rows.select(
-        "addr", "bits", "country", m["country"].alias("m_country"), m["state"].alias("m_state"), m["city"].alias("m_city"),
+        "addr", "bits", "country", "registry", m["country"].alias("m_country"), m["state"].alias("m_state"), m["city"].alias("m_city"),
         m["postal"].alias("m_postal"), m["lat"].alias("m_lat"), m["lon"].alias("m_lon"), m["confidence"].alias("confidence"), m["sources"].alias("sources"),
     )
     rows = settled(rows).where(F.col("confidence") >= cfg.min_confidence)
-    if inputs.registry is not None:
-        found = joins.as_of_range(rows, inputs.registry, ["cc"], ["file", "line"])
-        rows = rows.join(found, "addr", "left").withColumn("registry", F.coalesce("cc", "country")).drop("cc")
-    else:
-        rows = rows.withColumn("registry", F.col("country"))
     if inputs.postal is not None:
         rows = enrich.enrich(rows, inputs.postal)
         marks = [F.when(F.col(c), F.lit(s)) for c, s in (("zip_filled", "geonames"), ("city_filled", "geonames-rev"))]
@@ -220,7 +231,7 @@ def counters(release: DataFrame) -> DataFrame:
 
 
 def write_csv(release: DataFrame, path: str) -> None:
-    as_csv(release).write.mode("overwrite").option("header", "true").csv(path)
+    as_csv(release).write.mode("overwrite").options(header="true", quote='"', escape='"', emptyValue="").csv(path)
 
 
 def write_parquet(release: DataFrame, path: str) -> None:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, ip, text
 from ..operators import consensus, enrich, joins, quality
+from ..sources import readers
 from . import build as plan
 from . import derived as src
+from . import sqlmerge
 from . import sqltwin as tw
 
 _QUERIES: dict = {}
@@ -283,9 +285,18 @@ def _merged(spark, d) -> DataFrame:
     return consensus.merge(df.withColumn("candidates", F.array(*slots)).select("c_custkey", "country", "candidates"))
 
 
-@query()
+_THREE_SQL = f"""(with o as (select c.*, s.st, {src.pick_sql(src.NAMES, "c_custkey + 1")} as next_name from {_OPINION_SQL} c join {src.words_sql(src.STATES, "st", tail=False)} s using (c_custkey))
+  select c_custkey as k, country as seed, 0 as i, 'dbip' as source, country, st as state, city, '' as ru, '' as postal, lat, lon, true as has from o
+  union all select c_custkey, country, 1, 'maxmind', cc, '', case when c_custkey % 3 = 0 then next_name else city end, '', cast(c_custkey as varchar),
+    case when c_custkey % 4 = 0 then lat + 3 else lat + 0.02::double end, lon, true from o
+  union all select c_custkey, country, 2, 'ip2loc', country, st, city, '', {src.pick_sql(src.POSTALS, "c_custkey")}, 0.0::double, 0.0::double, false from o)"""
+
+
+@query(f"""with recursive {sqlmerge.merged(_THREE_SQL)}
+  select k as c_custkey, country as m_country, state as m_state, city as m_city, postal as m_postal, lat as m_lat, lon as m_lon,
+    confidence as m_confidence, array_to_string(sources, ',') as sources from merged""")
 def merged_record(spark, d) -> DataFrame:
-    """Covered by the property test against the sequential model; a SQL twin would restate the engine."""
+    """Three opinions on each customer, merged."""
     m = F.col("merged")
     return _merged(spark, d).select(
         "c_custkey", *[m[c].alias(f"m_{c}") for c in ("country", "state", "city", "postal", "lat", "lon", "confidence")], F.array_join(m["sources"], ",").alias("sources")
@@ -317,10 +328,10 @@ def confidence_single_opinion(spark, d) -> DataFrame:
 _GRAPH_SQL = """(select c_custkey, c_custkey % 2 = 0 as ab, c_custkey % 3 = 0 as bc, c_custkey % 5 = 0 as ac from customer)"""
 
 
-@query(f"""select c_custkey, case when (ab and bc) or (ab and ac) or (bc and ac) then 'n3'
+@query(f"""select c_custkey, case when ab and (ac or bc) then '0,1,2' when ac and bc then '0,2,1'
     when ab then '0,1' when bc then '1,2' when ac then '0,2' else '0' end as members from {_GRAPH_SQL}""")
 def consensus_cluster(spark, d) -> DataFrame:
-    """The winning component of a three-node graph of equal trust (its size only where it has all)."""
+    """The winning component of a three-node graph of equal trust, in the order of discovery."""
     df = src.table(spark, d, "customer")
     on = lambda n: F.expr(f"c_custkey % {n} = 0")
     edges = lambda *pairs: F.filter(F.array(*[F.when(c, F.lit(j)) for c, j in pairs]), lambda x: x.isNotNull())
@@ -328,7 +339,7 @@ def consensus_cluster(spark, d) -> DataFrame:
     df = df.select("c_custkey", adjacent.alias("adj"), F.array(F.lit(9), F.lit(9), F.lit(9)).alias("t"))
     c = consensus.component(F.col("adj"), F.col("t"))
     df = df.select("c_custkey", c.alias("c"))
-    return df.select("c_custkey", F.when(F.size("c") == 3, "n3").otherwise(F.array_join("c", ",")).alias("members"))
+    return df.select("c_custkey", F.array_join("c", ",").alias("members"))
 
 
 @query(f"""select c_custkey, cast(coalesce(nullif(list_position(case when country in ('RU', 'UA', 'KZ') then ['geofeed', 'sypex', 'ip2loc', 'maxmind', 'dbip']
@@ -532,34 +543,172 @@ def smoke_sample_top25(spark, d) -> DataFrame:
     return quality.smoke_sample(src.release(spark, d, "current"))
 
 
+# ---- scans: lines to typed rows -------------------------------------------------------------------
+
+_FEED_LINES = src.fields_sql(src.FEED_FIELDS, "part", "p_partkey")
+_SEED_ROWS = src.fields_sql(src.SEED_FIELDS, "supplier", "s_suppkey")
+_REGISTRY_LINES = src.fields_sql(src.REGISTRY_FIELDS, "customer", "c_custkey")
+_PLACE_LINES = src.fields_sql(src.PLACE_FIELDS, "part", "p_partkey")
+_TOWN_LINES = src.fields_sql(src.TOWN_FIELDS, "part", "p_partkey")
+
+
+@query(f"""select k as line, addr as ip_start, addr - addr % n + n - 1 as ip_end, cast(n_bits as int) as bits, upper(trim(country)) as country,
+    trim(state) as state, trim(city) as city, trim(postal) as postal
+  from (select *, cast(power(2, 32 - n_bits) as bigint) as n from {_FEED_LINES}) where kind = 'row' and n_bits <= 24""")
+def geofeed_scan(spark, d) -> DataFrame:
+    """Feed lines with comments, short and bad rows, quotes and blocks that are too long."""
+    prefix = F.concat("ip", F.lit("/"), F.col("n_bits").cast("string"))
+    row = F.concat_ws(",", prefix, "country", "state", src.quoted_field("city"), "postal")
+    value = F.when(F.col("kind") == "comment", F.concat(F.lit(" # "), row)).when(F.col("kind") == "short", F.concat_ws(",", prefix, "country", "state"))
+    value = value.when(F.col("kind") == "bad", F.concat(F.lit("10.300.0.0/8,"), row)).otherwise(row)
+    out = readers.geofeed_rows(src.lines(spark, d, src.FEED_FIELDS, "part", "p_partkey", value))
+    return out.select("line", "ip_start", "ip_end", "bits", "country", "state", "city", "postal")
+
+
+@query(f"""select a as ip_start, a as ip_end, coalesce(country, '') as country, state, city, cast(lat as double) as lat, cast(lon as double) as lon,
+    lat <> 0 or lon <> 0 as has_coords from {_SEED_ROWS} where kind = 'row'""")
+def seed_scan(spark, d) -> DataFrame:
+    """Seed rows as text: addresses of both families, numbers that are none."""
+    return readers.seed_rows(src.fields(spark, d, src.SEED_FIELDS, "supplier", "s_suppkey"))
+
+
+@query(f"""select k as line, upper(trim(cc)) as cc, addr as ip_start, addr + size - 1 as ip_end
+  from {_REGISTRY_LINES} where fields = 7 and family = 'ipv4' and size > 0 and length(trim(cc)) = 2 and upper(trim(cc)) <> 'ZZ'""")
+def registry_scan(spark, d) -> DataFrame:
+    text_of = lambda c: F.col(c).cast("string")
+    row = F.concat_ws("|", F.lit("rir"), "cc", "family", "ip", text_of("size"), F.lit("20200101"))
+    value = F.when(F.col("fields") == 7, F.concat(row, F.lit("|allocated"))).otherwise(row)
+    out = readers.delegation_rows(src.lines(spark, d, src.REGISTRY_FIELDS, "customer", "c_custkey", value))
+    return out.select("line", "cc", "ip_start", "ip_end")
+
+
+@query(f"""select k as line, upper(trim(country)) as country, trim(postal) as postal, trim(place) as place, state,
+    cast(case lat when 'north' then 0 else try_cast(lat as double) end as double) as lat, coalesce(try_cast(lon as double), 0) as lon
+  from {_PLACE_LINES} where fields = 12 and trim(postal) <> '' and trim(place) <> ''""")
+def postal_scan(spark, d) -> DataFrame:
+    value = src.separated({0: "country", 1: "postal", 2: "place", 3: "state", 9: "lat", 10: "lon"}, "fields")
+    out = readers.postal_rows(src.lines(spark, d, src.PLACE_FIELDS, "part", "p_partkey", value))
+    return out.select(F.col("line.line").alias("line"), "country", "postal", "place", "state", "lat", "lon")
+
+
+@query(f"""select k as line, cast(number as bigint) as geoname_id, name, 'f2' as asciiname, 'f3' as alternatenames, upper(trim(country)) as country,
+    coalesce(try_cast(population as bigint), 0) as population
+  from {_TOWN_LINES} where fields = 15 and class = 'P' and coalesce(try_cast(number as bigint), 0) > 0 and trim(country) <> ''""")
+def gazetteer_scan(spark, d) -> DataFrame:
+    value = src.separated({0: "number", 1: "name", 6: "class", 8: "country", 14: "population"}, "fields")
+    out = readers.gazetteer_rows(src.lines(spark, d, src.TOWN_FIELDS, "part", "p_partkey", value))
+    return out.select(F.col("line.line").alias("line"), "geoname_id", "name", "asciiname", "alternatenames", "country", "population")
+
+
+@query(f"""select c_custkey, case v when 'москва' then 'moscow' when 'казань' then 'kazan' when 'санкт петербург' then 'st petersburg' end as known
+  from {src.words_sql(src.KNOWN, tail=False)}""")
+def known_city(spark, d) -> DataFrame:
+    return src.words(spark, d, src.KNOWN, tail=False).select("c_custkey", text.known_latin("v").alias("known"))
+
+
+@query("""select c_custkey, case when t >= 80 then 4 when t >= 60 then 3 when t >= 40 then 2 when t >= 20 then 1 else 0 end as level
+  from (select c_custkey, cast(c_custkey * 7 % 1010 as double) / 10 as t from customer)""")
+def agreement_level(spark, d) -> DataFrame:
+    t = F.expr("cast(c_custkey * 7 % 1010 as double) / 10")
+    return src.table(spark, d, "customer").select("c_custkey", consensus.agreement(t).alias("level"))
+
+
+@query(f"""select c_custkey, coalesce(try_cast(case when regexp_matches(v, '[ ]') or regexp_matches(v, '^[+-]?[0-9.].*[fFdDlLsSyY]$') then null else v end as double), 0) as out
+  from {src.words_sql(src.FLOATS, tail=False)}""")
+def lenient_float(spark, d) -> DataFrame:
+    return src.words(spark, d, src.FLOATS, tail=False).select("c_custkey", text.lenient_float("v").alias("out"))
+
+
+@query(f"""select country_code, rows, filled, case when rows = 0 then 0 else cast(filled as double) * 100 / rows end as pct
+  from (select country_code, count(*) as rows, count(*) filter (where city_name <> '') as filled from {_CUR} group by country_code)""")
+def fill_ratios(spark, d) -> DataFrame:
+    """Shares of filled cities, as the report gives them."""
+    r = src.release(spark, d, "current").groupBy("country_code").agg(F.count("*").alias("rows"), F.count_if(F.col("city_name") != "").alias("filled"))
+    return r.select("country_code", "rows", "filled", quality.percent(F.col("filled"), F.col("rows")).alias("pct"))
+
+
 # ---- the whole build ------------------------------------------------------------------------------
 
 
-def _inputs(spark, d) -> plan.Inputs:
-    seed = src.ranges(spark, d).withColumn("has_coords", (F.col("lat") != 0) | (F.col("lon") != 0))
-    feed = src.feed(spark, d).select(
-        "bits", "ip_start", "ip_end", "file", "line", src.pick(src.CODES, "p_partkey").alias("country"), src.pick(src.STATES, "p_partkey").alias("state"),
-        src.pick(src.NAMES, "p_partkey").alias("city"), src.pick(src.POSTALS, "p_partkey").alias("postal"),
-    )
-    ip2loc = src.ranges(spark, d).select(
-        "ip_start", "ip_end", F.col("country").alias("country_short"), F.col("state").alias("region"), F.col("city"), src.pick(src.POSTALS, "s_suppkey").alias("zipcode"),
+_BLOCKS_SQL = f"(select addr, bits, s_suppkey, country, state, city, lat, lon from {tw.cover(src.build_ranges_sql(), 's_suppkey, country, state, city, lat, lon')})"
+_SHORT_SQL = f"""(select case when split then addr + j * 256 else addr end as addr, cast(case when split then 24 else bits end as int) as bits, s_suppkey, country, state, city, lat, lon
+  from (select *, unnest(case when split then generate_series(0, cast(power(2, 24 - bits) as bigint) - 1) else [0] end) as j
+        from (select *, bits < 24 and country in ('RU', 'UA', 'KZ') as split from {tw.cover(src.build_ranges_sql(True), "s_suppkey, country, state, city, lat, lon")})))"""
+
+
+def _opinions_sql(blocks: str, every: bool) -> str:
+    """What the seed, the feed and ip2loc (and with ``every`` maxmind and sypex) say of each block."""
+    out = f"""with b as (select * from {blocks}),
+      g as (select b.addr, b.country as seed, f.* from b join {src.BUILD_FEED_SQL} f on b.addr between f.ip_start and f.ip_end
+        qualify row_number() over (partition by b.addr order by f.bits desc, f.p_partkey) = 1)
+      select addr as k, country as seed, 0 as i, 'dbip' as source, country, state, city, '' as ru, '' as postal, lat, lon, lat <> 0 or lon <> 0 as has from b
+      union all select addr, seed, 1, 'geofeed', country, state, city, '', postal, 0.0::double, 0.0::double, false from g
+      union all select addr, country, 3, 'ip2loc', case when s_suppkey % 9 = 0 then country else upper(country) end, state, {src.I_CITY}, '', {src.I_ZIP},
+        cast(cast(lat as float) as double), cast(cast(lon as float) as double), cast(lat as float) <> 0 or cast(lon as float) <> 0 from b"""
+    if every:
+        out += f"""
+      union all select addr, country, 2, 'maxmind', coalesce(nullif({src.M_COUNTRY}, ''), country), 'State 1', city, '', cast(s_suppkey % 100 as varchar), lat + 0.02::double, lon,
+        lat + 0.02::double <> 0 or lon <> 0 from b where s_suppkey % 4 <> 1
+      union all select addr, country, 4, 'sypex', country, state, case when s_suppkey % 2 = 0 then city else '' end, {src.pick_sql(src.CYRILLIC, "s_suppkey")}, '',
+        lat, lon - 0.03::double, lat <> 0 or lon - 0.03::double <> 0 from b where country in ('RU', 'UA', 'KZ')"""
+    return f"({out})"
+
+
+def _release_sql(every: bool = False) -> str:
+    blocks = _SHORT_SQL if every else _BLOCKS_SQL
+    return sqlmerge.release(blocks, _opinions_sql(blocks, every), src.REGISTRY_SQL, src.POSTAL_SQL, src.GAZETTEER_SQL, src.COUNTRIES_SQL, src.ZONES_SQL if every else "")
+
+
+def _inputs(spark, d, every: bool = False) -> plan.Inputs:
+    seed = src.build_ranges(spark, d, every)
+    code = F.when(F.expr("s_suppkey % 9 = 0"), "-").otherwise(F.concat(F.lit(" "), F.lower("country")))
+    ip2loc = seed.select(
+        "ip_start", "ip_end", code.alias("country_short"), F.col("state").alias("region"), F.expr(src.I_CITY).alias("city"), F.expr(src.I_ZIP).alias("zipcode"),
         F.col("lat").cast("float").alias("latitude"), F.col("lon").cast("float").alias("longitude"),
     )
+    more = {}
+    if every:
+        english = lambda c: F.create_map(F.lit("en"), c)
+        more["maxmind"] = seed.where("s_suppkey % 4 <> 1").select(
+            "ip_start", "ip_end", F.struct(english(F.col("city")).alias("names")).alias("city"), F.struct(F.expr(src.M_COUNTRY).alias("iso_code")).alias("country"),
+            F.array(F.struct(english(F.lit("State 1")).alias("names"))).alias("subdivisions"), F.struct(F.expr("cast(s_suppkey % 100 as string)").alias("code")).alias("postal"),
+            F.struct((F.col("lat") + 0.02).alias("latitude"), F.col("lon").alias("longitude")).alias("location"),
+        )
+        more["sypex"] = seed.select(
+            "ip_start", "ip_end", F.lower("country").alias("country_iso"), F.when(F.expr("s_suppkey % 2 = 0"), F.col("city")).otherwise("").alias("city_en"),
+            src.pick(src.CYRILLIC, "s_suppkey").alias("city_ru"), F.col("state").alias("region_en"), F.col("lat").alias("latitude"), (F.col("lon") - 0.03).alias("longitude"),
+        )
+        more["zones"] = spark.createDataFrame(src.ZONES, "cell_y long, cell_x long, time_zone string")
     return plan.Inputs(
-        seed=seed, geofeed=feed, ip2loc=ip2loc, registry=src.registry(spark, d), postal=src.postal(spark, d), gazetteer=src.gazetteer(spark, d),
-        countries=spark.createDataFrame([("RU", "Russia", "EU", "7", "RUB"), ("US", "United States", "NA", "1", "USD"), ("DE", "Germany", "EU", "49", "EUR")], plan.COUNTRY),
+        seed=seed.drop("s_suppkey"), geofeed=src.build_feed(spark, d), ip2loc=ip2loc, registry=src.registry(spark, d), postal=src.postal(spark, d),
+        gazetteer=src.gazetteer(spark, d), countries=spark.createDataFrame(src.COUNTRIES, plan.COUNTRY), **more,
     )
 
 
-@query()
+_BUILT = "1970-01-01T00:00:00Z"
+
+
+@query(f"with recursive {_release_sql()} select {sqlmerge.CSV} from release")
 def release_build(spark, d) -> DataFrame:
-    return plan.as_csv(plan.build(_inputs(spark, d), built_at="1970-01-01T00:00:00Z"))
+    return plan.as_csv(plan.build(_inputs(spark, d), built_at=_BUILT))
 
 
-@query()
+@query(f"with recursive {_release_sql(True)} select {sqlmerge.CSV} from release")
+def release_build_all_sources(spark, d) -> DataFrame:
+    """All five sources, blocks of CIS countries as /24, zones."""
+    return plan.as_csv(plan.build(_inputs(spark, d, True), built_at=_BUILT))
+
+
+@query(f"""with recursive {_release_sql()} select matched_prefix, confidence, country_code, calling_code, currency_code, country_code in ('DE', 'FR', 'IT') as is_eu_member,
+  geoname as city_geoname_id, lat as latitude, lon as longitude, city_name, accuracy_radius_km from release""")
 def release_record_nested(spark, d) -> DataFrame:
-    out = plan.nested(plan.build(_inputs(spark, d), built_at="1970-01-01T00:00:00Z"))
-    return out.select("matched_prefix", "confidence", F.to_json("country_metadata").alias("country_metadata"), F.to_json("location").alias("location"))
+    """Fields of the lookup record."""
+    out = plan.nested(plan.build(_inputs(spark, d), built_at=_BUILT))
+    about = F.col("country_metadata")[F.col("location.country_code")]
+    return out.select(
+        "matched_prefix", "confidence", F.map_keys("country_metadata")[0].alias("country_code"), *[about[c].alias(c) for c in ("calling_code", "currency_code", "is_eu_member")],
+        *[F.col(f"location.{c}").alias(c) for c in ("city_geoname_id", "latitude", "longitude", "city_name", "accuracy_radius_km")],
+    )
 
 
 @query(f"""select s_suppkey, {tw.address("addr")} || '/' || cast(bits as varchar) as matched_prefix, country as country_code,
@@ -573,6 +722,8 @@ def seed_only_build(spark, d) -> DataFrame:
     )
 
 
-@query()
+@query(f"""with recursive {_release_sql()} select count(*) filter (where confidence >= 75) as high, count(*) filter (where confidence >= 50 and confidence < 75) as moderate,
+  count(*) filter (where confidence < 50) as low, count(*) filter (where snapped) as snapped, count(*) filter (where zip_filled) as zip_filled,
+  count(*) filter (where city_filled) as city_filled from release""")
 def build_counters(spark, d) -> DataFrame:
     return plan.counters(plan.build(_inputs(spark, d)))

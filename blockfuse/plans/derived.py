@@ -21,6 +21,8 @@ BROKEN = (
     "SÃ£o Paulo", "BogotÃ¡", "MÃ¼nchen", "Sanaâ€™a", "Plain", "Ã la carte", "Kazan’", "Ñandú", "city �", "x oblast'",
     "Ð city", "Â", "ok â€œquoted", "dÃ©jÃ vu",
 )
+KNOWN = ("москва", "казань", "нет такого", "moscow", "", "санкт петербург")
+FLOATS = ("1.5", "-2", "+3.25", "1e3", " 7", "7 ", "1f", "1.5d", "x", "", ".5", "5.", "1,5", "0x1p3z")
 POSTALS = ("SW1A 1AA", " 10-115 ", "0000", "0 -", "101000", "101 999", "ab-12", "N/A", "", "80331")
 
 
@@ -86,6 +88,72 @@ FEED_SQL = f"""(select p_partkey, bits, ip_start, ip_start - ip_start % n + n -
   from (select p_partkey, cast({FEED_BITS} as int) as bits, {FEED_START} as ip_start,
                cast(power(2, 32 - ({FEED_BITS})) as bigint) as n from part))"""
 
+# ---- lines of the input files: what they hold as columns (the same expressions in both dialects), and as text
+
+#: an address of four octets and its number
+OCTETS = "cast(k % 220 + 1 as string) || '.' || cast(k % 251 as string) || '.' || cast(k * 7 % 256 as string) || '.' || cast(k % 5 * 16 as string)"
+NUMBER = "(((k % 220 + 1) * 256 + k % 251) * 256 + k * 7 % 256) * 256 + k % 5 * 16"
+
+FEED_FIELDS = {
+    "k": "k", "addr": NUMBER, "ip": OCTETS, "n_bits": "8 + k % 20",
+    "country": "case k % 4 when 0 then 'us' when 1 then ' de ' when 2 then 'FR ' else '' end",
+    "state": "case when k % 3 = 0 then '' else ' US-' || cast(k % 50 as string) end",
+    "city": "case k % 6 when 0 then 'Say \"Hi\", City' when 1 then ' Spaced  ' when 2 then 'a\"b' else 'Town ' || cast(k as string) end",
+    "postal": "cast(10000 + k % 900 as string)",
+    "kind": "case when k % 17 = 0 then 'comment' when k % 19 = 0 then 'short' when k % 23 = 0 then 'bad' else 'row' end",
+}
+SEED_FIELDS = {
+    "k": "k", "a": NUMBER, "start_ip": "case when k % 13 = 0 then '2001:db8::1' when k % 17 = 0 then '1.2.3' else " + OCTETS + " end",
+    "end_ip": "case when k % 13 = 0 then '2001:db8::ff' else ' ' || " + OCTETS + " || ' ' end", "continent": "'EU'",
+    "country": "case when k % 7 = 0 then null else 'DE' end", "state": "'S' || cast(k % 9 as string)", "city": "'C' || cast(k % 99 as string)",
+    "latitude": "case k % 5 when 0 then '0' when 1 then 'x' when 2 then ' 5.5' when 3 then '51.25' else '-7.5e0' end",
+    "longitude": "case k % 4 when 0 then '0' when 1 then '' when 2 then '9.5f' else '+13.75' end",
+    "lat": "case k % 5 when 3 then 51.25 when 4 then -7.5 else 0 end", "lon": "case k % 4 when 3 then 13.75 else 0 end",
+    "kind": "case when k % 13 = 0 or k % 17 = 0 then 'other' else 'row' end",
+}
+REGISTRY_FIELDS = {
+    "k": "k", "addr": NUMBER, "ip": OCTETS,
+    "cc": "case k % 6 when 0 then 'us' when 1 then ' DE ' when 2 then 'ZZ' when 3 then '' else 'FR' end",
+    "family": "case when k % 7 = 0 then 'ipv6' when k % 11 = 0 then 'asn' else 'ipv4' end",
+    "size": "case when k % 9 = 0 then 0 else k % 5 * 256 + 256 end", "fields": "case when k % 10 = 0 then 6 else 7 end",
+}
+PLACE_FIELDS = {
+    "k": "k", "country": "case k % 3 when 0 then 'us' when 1 then ' De' else 'FR' end", "postal": "case when k % 11 = 0 then '' else ' ' || cast(k % 900 as string) end",
+    "place": "case when k % 13 = 0 then ' ' else 'Place ' || cast(k % 70 as string) || ' ' end", "state": "'St ' || cast(k % 5 as string)",
+    "lat": "case k % 3 when 0 then '1.5' when 1 then 'north' else '-2.25' end", "lon": "case k % 2 when 0 then '7' else '' end",
+    "fields": "case when k % 17 = 0 then 11 else 12 end",
+}
+TOWN_FIELDS = {
+    "k": "k", "number": "case when k % 12 = 0 then 'x' || cast(k as string) when k % 18 = 1 then '0' else cast(k as string) end",
+    "name": "'Town ' || cast(k % 90 as string)", "class": "case k % 4 when 0 then 'A' else 'P' end",
+    "country": "case k % 5 when 0 then '' when 1 then ' us' else 'DE' end", "population": "case k % 7 when 0 then 'many' else cast(k * 31 % 5000 as string) end",
+    "fields": "case when k % 19 = 0 then 14 else 15 end",
+}
+
+
+def fields(spark: SparkSession, d, columns: dict, source: str, key: str) -> DataFrame:
+    return table(spark, d, source).selectExpr(f"{key} as k").selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
+
+
+def fields_sql(columns: dict, source: str, key: str) -> str:
+    return "(select " + ", ".join(f"{e} as {c}" for c, e in columns.items()) + f" from (select {key} as k from {source}))"
+
+
+def lines(spark: SparkSession, d, columns: dict, source: str, key: str, value) -> DataFrame:
+    """(file, line, value): the columns as lines of a file."""
+    return fields(spark, d, columns, source, key).select(F.lit("f").alias("file"), F.col("k").alias("line"), value.alias("value"))
+
+
+def quoted_field(c: str) -> F.Column:
+    return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def separated(columns: dict[int, str], n: str) -> F.Column:
+    """A line of ``n`` (a column) fields with tabs between, of which some are given by their place."""
+    every = F.array(*[F.col(columns[k]) if k in columns else F.lit(f"f{k}") for k in range(max(columns) + 5)])
+    return F.array_join(F.slice(every, F.lit(1), F.col(n)), "\t")
+
+
 # registry ranges that overlap
 REG_START = "(c_custkey * 2862933) % 4294967296"
 
@@ -192,3 +260,40 @@ def release_sql(part: str) -> str:
     {blank("cast(o_custkey as varchar)", 4, 20)} as city_geoname_id,
     cast((o_orderkey * 7 + {shift} * (o_custkey % 30)) % 101 as int) as confidence
     from orders where not ({gone}))"""
+
+
+# ---- inputs of a whole build ------------------------------------------------------------------------
+# The same expressions in both dialects: {s} is a supplier's key, with the ranges' columns at hand.
+
+B_CITY = "case s_suppkey % 3 when 0 then 'Place ' || cast(s_suppkey % 80 as string) when 1 then city else '' end"
+B_STATE = "case s_suppkey % 4 when 0 then 'State ' || cast(s_suppkey % 3 as string) else state end"
+I_CITY = "case when s_suppkey % 2 = 0 then city else '' end"
+I_ZIP = "case when s_suppkey % 5 = 0 then '' else cast(10000 + s_suppkey * 7 % 900 as string) || case when s_suppkey % 7 = 0 then ' A' else '' end end"
+M_COUNTRY = "case s_suppkey % 6 when 0 then '' when 1 then 'DE' else country end"
+F_CITY = "case p_partkey % 3 when 0 then 'Place ' || cast(p_partkey % 70 as string) else '' end"
+F_ZIP = "case p_partkey % 4 when 0 then cast(10000 + p_partkey * 7 % 900 as string) else '' end"
+#: short ranges, so that blocks of /24 stay few
+SHORT_END = "s_suppkey * 4000037 + s_suppkey % 7 + (s_suppkey * 7919) % 39000"
+
+
+def build_ranges(spark, d, short: bool = False) -> DataFrame:
+    """Seed ranges of a build; without a city on some, with one of the postal table on others."""
+    r = ranges(spark, d).selectExpr("s_suppkey", "ip_start", SHORT_END + " as ip_end" if short else "ip_end", "country", f"{B_STATE} as state", f"{B_CITY} as city", "lat", "lon")
+    return r.withColumn("has_coords", (F.col("lat") != 0) | (F.col("lon") != 0))
+
+
+def build_ranges_sql(short: bool = False) -> str:
+    return f"(select s_suppkey, ip_start, {SHORT_END if short else 'ip_end'} as ip_end, country, {B_STATE} as state, {B_CITY} as city, lat, lon from {RANGES_SQL})"
+
+
+def build_feed(spark, d) -> DataFrame:
+    code = pick(CODES, "p_partkey").alias("country")
+    return feed(spark, d).select("bits", "ip_start", "ip_end", "file", "line", code, pick(STATES, "p_partkey").alias("state"), F.expr(F_CITY).alias("city"), F.expr(F_ZIP).alias("postal"))
+
+
+BUILD_FEED_SQL = f"""(select p_partkey, bits, ip_start, ip_end, {pick_sql(CODES, "p_partkey")} as country, {pick_sql(STATES, "p_partkey")} as state,
+  {F_CITY} as city, {F_ZIP} as postal from {FEED_SQL})"""
+COUNTRIES = (("RU", "Russia", "EU", "7", "RUB"), ("US", "United States", "NA", "1", "USD"), ("DE", "Germany", "EU", "49", "EUR"), ("CN", "", "AS", "86", "CNY"))
+COUNTRIES_SQL = "(select * from (values " + ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in COUNTRIES) + ") t(code, name, continent, calling, currency))"
+ZONES = tuple((k, 4 * k, f"Zone/{k % 7}") for k in range(-360, 360))
+ZONES_SQL = "(select k as cell_y, 4 * k as cell_x, 'Zone/' || cast(((k % 7) + 7) % 7 as varchar) as time_zone from (select unnest(generate_series(-360, 359)) as k))"
