@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import ip, text
 from ..operators.boundary import settled
 
+#: A quote within a quoted field is doubled.
+QUOTING = {"quote": '"', "escape": '"'}
 SEED = "start_ip string, end_ip string, continent string, country string, state string, city string, latitude string, longitude string"
 
 
@@ -17,7 +19,7 @@ def seed(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
 
     ``on_error``: what a row with another number of columns does: 'fail', 'skip', or 'truncate' (it and
     all later rows of its file are left out)."""
-    read = spark.read.option("columnPruning", "false")  # a row is malformed whatever columns are asked for
+    read = spark.read.options(**QUOTING).option("columnPruning", "false")  # a row is malformed whatever columns are asked for
     mode = {"fail": "FAILFAST", "skip": "DROPMALFORMED", "truncate": "PERMISSIVE"}[on_error]
     if on_error == "truncate":
         raw = read.schema(SEED + ", bad string").option("columnNameOfCorruptRecord", "bad").option("mode", mode).csv(path)
@@ -59,7 +61,7 @@ def geofeed(spark: SparkSession, path: str, max_bits: int = 24) -> DataFrame:
 
 def geofeed_rows(lines: DataFrame, max_bits: int = 24) -> DataFrame:
     """Feed rows of (file, line, value): bits, ip_start (as written), ip_end, country, state, city, postal."""
-    fields = F.from_csv("value", F.lit("a string, b string, c string, d string, e string"), {"ignoreLeadingWhiteSpace": "true"})
+    fields = F.from_csv("value", F.lit("a string, b string, c string, d string, e string"), {"ignoreLeadingWhiteSpace": "true", **QUOTING})
     columns = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), ","))
     out = lines.where(~F.trim("value").startswith("#")).select("file", "line", columns.alias("n"), fields.alias("f")).where("n >= 4")
     prefix = F.trim("f.a")
@@ -125,8 +127,10 @@ def gazetteer_rows(lines: DataFrame) -> DataFrame:
 
 def release_csv(spark: SparkSession, path: str) -> DataFrame:
     """A release file by header name, with the order of its rows."""
-    raw = spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
-    return raw.withColumn("line", F.monotonically_increasing_id())
+    raw = spark.read.options(**QUOTING).option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    # files in order of their names, rows in order within a file (places of blocks, and rows within a block)
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return raw.withColumn("line", at)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
