@@ -102,6 +102,68 @@ def test_mmdb_round_trip(spark, tmp_path):
     assert hit.first().n == 2
 
 
+def as_ipv6(v4: bytes, size: int) -> bytes:
+    """An IPv4 file of 32-bit records as an IPv6 tree (96 nodes on top) with records of another size."""
+    file, top = mmdb.File(v4), 96
+    n = file.n + top
+    moved = lambda x: x + top if x != file.n else n
+    nodes = [(k + 1, n) for k in range(top)] + [tuple(map(moved, file.children(k))) for k in range(file.n)]
+    out = b""
+    for a, b in nodes:
+        if size == 28:
+            out += (a & 0xFFFFFF).to_bytes(3, "big") + bytes([(a >> 24) << 4 | b >> 24]) + (b & 0xFFFFFF).to_bytes(3, "big")
+        else:
+            out += a.to_bytes(size // 8, "big") + b.to_bytes(size // 8, "big")
+    data = v4[file.n * 8 : v4.rindex(b"\xab\xcd\xefMaxMind.com")]
+    return out + data + b"\xab\xcd\xefMaxMind.com" + mmdb.encode(file.about | {"node_count": n, "record_size": size, "ip_version": 6})
+
+
+@pytest.mark.parametrize("size", [24, 28, 32])
+def test_mmdb_ipv6_trees(spark, tmp_path, size):
+    blocks = [("10.0.0.0/8", 1), ("10.1.0.0/16", 2), ("192.168.0.0/24", 3), ("0.0.0.0/32", 4), ("255.255.255.255/32", 5)]
+    path = tmp_path / "x.mmdb"
+    mmdb.write(spark.createDataFrame(blocks, "matched_prefix string, n long"), str(path))
+    v4 = path.read_bytes()
+    v6 = as_ipv6(v4, size)
+    assert [(a, b, r["n"]) for a, b, r in mmdb.entries(v6)] == [(a, b, r["n"]) for a, b, r in mmdb.entries(v4)]
+    for text_, want in (("10.0.0.1", 1), ("10.1.2.3", 2), ("192.168.0.9", 3), ("0.0.0.0", 4), ("255.255.255.255", 5), ("11.0.0.0", None)):
+        a, b, c, d = map(int, text_.split("."))
+        got = mmdb.lookup(v6, (a << 24) | (b << 16) | (c << 8) | d)
+        assert (got and got["n"]) == want
+    path.write_bytes(v6)
+    assert mmdb.rows(spark, str(path), "n long").count() == len(list(mmdb.entries(v4)))
+
+
+def test_release_csv_doubles_quotes(spark, tmp_path):
+    df = spark.createDataFrame([('a"b', 'x, "y"', ""), ("c", "d", "e")], "p string, q string, r string")
+    df.coalesce(1).write.options(header="true", quote='"', escape='"', emptyValue="").csv(str(tmp_path / "r"))
+    (part,) = (tmp_path / "r").glob("*.csv")
+    import csv
+
+    assert list(csv.reader(part.open()))[1:] == [['a"b', 'x, "y"', ""], ["c", "d", "e"]]
+    assert ',""\n' not in part.read_text()
+    back = readers.release_csv(spark, str(tmp_path / "r")).orderBy("line").select("p", "q").collect()
+    assert [tuple(r) for r in back] == [('a"b', 'x, "y"'), ("c", "d")]
+
+
+def test_the_rest_works_without_the_corpus_operators(tmp_path):
+    """A copy without the two folders (and without the pipeline, or with it) still gives all core queries."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    for name in ("blockfuse", "__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            (shutil.copytree if (root / name).is_dir() else shutil.copy)(root / name, tmp_path / name)
+    shutil.rmtree(tmp_path / "blockfuse" / "llm", ignore_errors=True)
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert len(q) > 40 and set(s) <= set(q); assert not any(n.startswith('op') or n == 'pipeline' for n in q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
+    (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
+
+
 def test_stream_enrichment(spark, tmp_path):
     release = spark.createDataFrame([("10.0.0.0/8", "A"), ("10.1.0.0/16", "B")], "matched_prefix string, country_code string")
     rows = spark.createDataFrame([("10.1.2.3",), ("10.2.0.0",), ("11.0.0.0",), ("bad",)], "ip string")
