@@ -27,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     (tests on one machine) a temporary one is made and set as checkpoint folder."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("blockfuse.work.dir", None)
+    if not found and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="blockfuse-")
         spark.conf.set("blockfuse.work.dir", found)
