@@ -20,7 +20,7 @@ the order comes from a fixed-size count sketch that is summed over the shingles
   component are paired with a few of its members (HUBS, drawn anew); what is left is compared within
   the list by signatures, in tiles of at most ``TILE`` members. So no link between components is lost.
   Very frequent shingles are salted, so that a list spreads over tasks; its parts meet again later.
-* The *signature* of a set: for each of B cells (B a power of two of at least n) the parity of the
+* The *signature* of a set: for each of B cells (B a power of two of at least n and LEAST_CELLS) the parity of the
   number of its hashes there. Parities that differ are no more than the hashes that only one of
   two sets has, so a pair with more of them than a link allows is passed over, and no link is. The
   signature has a thirtieth to a sixtieth of the set's bytes; it folds to any smaller power of two.
@@ -62,6 +62,8 @@ SMALL, ROUNDS, MOST_LEVEL = 8, 4, 8
 #: Members of a list's largest component that the others are paired with in a round; rounds go on while more
 #: than so many pairs are left for each list entry and each halves them; members of a tile.
 HUBS, OPEN_PAIRS, TILE = 8, 64, 2048
+#: Cells of a signature at least.
+LEAST_CELLS = 1 << 10
 #: What verifying a candidate costs, in list entries.
 VERIFY = 4.0
 #: Estimated members of a list beyond which it is salted, and most salts.
@@ -155,7 +157,7 @@ def class_id(hashes: np.ndarray) -> bytes:
 
 def signature(hashes: np.ndarray) -> bytes:
     """Parities of the numbers of hashes in each of B cells, 64 at least."""
-    cells = max(64, 1 << (len(hashes) - 1).bit_length())
+    cells = max(LEAST_CELLS, 1 << (len(hashes) - 1).bit_length())
     at = (hashes & np.uint64(cells - 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=cells).astype(np.uint8) & 1).tobytes()
 
