@@ -88,18 +88,14 @@ def donor_range_join(spark, d) -> DataFrame:
     return a.join(joins.point_in_range(a, src.ranges(spark, d), ["s_suppkey"]), "addr", "left")
 
 
-@query(f"""select n_nationkey, code, {src.pick_sql(("Country A", "Country B", "Country C", "", "Country E"), "n_nationkey")} as name,
-  coalesce(c.continent, 'Unknown') as continent from
-  (select n_nationkey, {src.pick_sql(src.CODES, "n_nationkey")} as code from nation) n
-  left join (select * from (values ('RU', 'Europe'), ('US', 'North America'), ('CN', 'Asia')) t(cc, continent)) c on c.cc = n.code""")
+@query(f"""select {tw.address("addr")} || '/' || cast(bits as varchar) as matched_prefix, country as country_code, coalesce(nullif(name, ''), country) as country_name,
+    coalesce(continent, '') as continent_code, case continent when 'EU' then 'Europe' when 'NA' then 'North America' when 'AS' then 'Asia' else 'Unknown' end as continent_name
+  from {tw.cover(src.build_ranges_sql(True), "country")} left join {src.COUNTRIES_SQL} on code = country""")
 def country_dim_join(spark, d) -> DataFrame:
-    names = ("Country A", "Country B", "Country C", "", "Country E")
-    dims = spark.createDataFrame([("RU", "EU"), ("US", "NA"), ("CN", "AS")], "code string, continent_code string")
-    n = src.table(spark, d, "nation").select("n_nationkey", src.pick(src.CODES, "n_nationkey").alias("code"), src.pick(names, "n_nationkey").alias("name"))
-    label = F.create_map(*[F.lit(x) for kv in plan.CONTINENTS.items() for x in kv])
-    return n.join(F.broadcast(dims), "code", "left").select(
-        "n_nationkey", "code", "name", F.coalesce(F.try_element_at(label, F.col("continent_code")), F.lit("Unknown")).alias("continent")
-    )
+    """Countries of a build from the seed alone; some are missing, one has no name."""
+    seed = src.build_ranges(spark, d, True).drop("s_suppkey")
+    out = plan.build(plan.Inputs(seed=seed, countries=spark.createDataFrame(src.COUNTRIES, plan.COUNTRY)))
+    return out.select("matched_prefix", "country_code", "country_name", "continent_code", "continent_name")
 
 
 # ---- names and text -------------------------------------------------------------------------------
@@ -157,12 +153,13 @@ def dedupe_state_city(spark, d) -> DataFrame:
 
 
 _PAIRS_SQL = """(select a.p_partkey, a.p_name as a, b.p_name as b, a.p_type as sa, b.p_type as sb
-  from part a join part b on b.p_partkey = (a.p_partkey * 7) % 1000 + 1)"""
+  from part a join part b on b.p_partkey = (a.p_partkey * 7) % (select max(p_partkey) from part) + 1)"""
 
 
 def _pairs(spark, d) -> DataFrame:
     p = src.table(spark, d, "part")
-    a = p.select("p_partkey", F.col("p_name").alias("a"), F.col("p_type").alias("sa"), F.expr("(p_partkey * 7) % 1000 + 1").alias("o"))
+    last = p.agg(F.max("p_partkey")).first()[0] or 1
+    a = p.select("p_partkey", F.col("p_name").alias("a"), F.col("p_type").alias("sa"), (F.col("p_partkey") * 7 % last + 1).alias("o"))
     b = p.select(F.col("p_partkey").alias("o"), F.col("p_name").alias("b"), F.col("p_type").alias("sb"))
     return a.join(b, "o").drop("o")
 
@@ -439,14 +436,17 @@ def accuracy_radius(spark, d) -> DataFrame:
     return df.select("c_custkey", km.alias("km"))
 
 
-@query("""select word, pos, key from (select word, generate_subscripts(keys, 1) - 1 as pos, unnest(keys) as key from
-  (values ('Montreal (Montreal-Est)', ['montreal montreal est', 'montreal est', 'montreal']), ('Paris 01', ['paris 01']),
-          ('A (B)', ['a b', 'b']), ('X ()', ['x']), ('Q (One Two-Three)', ['q one two three', 'one two three', 'one'])) t(word, keys))""")
+_PLACE = "'Town ' || cast(c_custkey as string) || case c_custkey % 6 when 0 then '' when 1 then ' (East-Side)' when 2 then ' (Old Quarter-X)' when 3 then ' ()' when 4 then ' (Süd)' else ' (A) (B C)' end"
+
+
+@query(f"""select c_custkey, pos - 1 as pos, keys[pos] as key from (select c_custkey, keys, unnest(generate_series(1, len(keys))) as pos from (
+  select c_custkey, case c_custkey % 6 when 0 then [t] when 1 then [t || ' east side', 'east side', 'east'] when 2 then [t || ' old quarter x', 'old quarter x', 'old']
+    when 3 then [t] when 4 then [t || ' sud', 'sud'] else [t || ' a b c', 'a'] end as keys from (select c_custkey, 'town ' || cast(c_custkey as varchar) as t from customer)))""")
 def place_aliases(spark, d) -> DataFrame:
-    words = ["Montreal (Montreal-Est)", "Paris 01", "A (B)", "X ()", "Q (One Two-Three)"]
-    df = spark.createDataFrame([(w,) for w in words], "word string")
-    out = df.select("word", F.posexplode(enrich.place_keys("word")).alias("pos", "key"))
-    return out.select("word", F.col("pos").cast("long").alias("pos"), "key")
+    """Keys of places with and without a name in parentheses."""
+    df = src.table(spark, d, "customer").select("c_custkey", F.expr(_PLACE).alias("place"))
+    out = df.select("c_custkey", F.posexplode(enrich.place_keys("place")).alias("pos", "key"))
+    return out.select("c_custkey", F.col("pos").cast("long").alias("pos"), "key")
 
 
 # ---- quality --------------------------------------------------------------------------------------
@@ -521,18 +521,18 @@ def regression_gate(spark, d) -> DataFrame:
     return quality.regressed(quality.coverage(cur), quality.coverage(prev), quality.difference(prev, cur))
 
 
+_LINED = f"""(select r.*, list_reduce(list_transform(string_split(split_part(matched_prefix, '/', 1), '.'), lambda x: cast(x as bigint)), lambda a, x: a * 256 + x) as o from {_CUR} r)"""
+
+
 @query(f"""select matched_prefix, city_name, confidence from (
     select *, row_number() over (partition by matched_prefix order by line desc) as rn from (
       select matched_prefix, trim(city_name) as city_name, case when line % 9 = 0 then 0 else confidence end as confidence, line from (
-        select *, o as line from (select r.*, row_number() over (order by matched_prefix) as o from {_CUR} r)
-        union all select *, o + 1000000 as line from (select r.*, row_number() over (order by matched_prefix) as o from {_CUR} r) where o % 5 = 0)))
+        select *, o as line from {_LINED} union all select *, o + 100000000000 as line from {_LINED} where o % 5 = 0)))
   where rn = 1""")
 def release_dedupe(spark, d) -> DataFrame:
     """Duplicate prefixes (the last row counts) and confidences that are no numbers."""
-    from pyspark.sql import Window
-
-    r = src.release(spark, d, "current").withColumn("line", F.row_number().over(Window.orderBy("matched_prefix")).cast("long"))
-    r = r.unionByName(r.where("line % 5 = 0").withColumn("line", F.col("line") + 1000000))
+    r = src.release(spark, d, "current").withColumn("line", ip.to_int(F.substring_index("matched_prefix", "/", 1)))
+    r = r.unionByName(r.where("line % 5 = 0").withColumn("line", F.col("line") + 100000000000))
     conf = F.when(F.expr("line % 9 = 0"), "x1").otherwise(F.col("confidence").cast("string"))
     out = quality.load_release(r.withColumn("confidence", conf).withColumn("city_name", F.concat(F.col("city_name"), F.lit(" "))))
     return out.select("matched_prefix", "city_name", "confidence")
