@@ -96,21 +96,20 @@ def checked(c: Column, country: Column) -> Column:
 def keyed(c: Column) -> Column:
     """With normalised names, so that each is computed once for all pairs."""
 
-    def name(v):
-        return F.transform(
-            F.array(text.normalize_name(v)),
-            lambda n: F.struct(
-                n.alias("n"),
-                text.contains_cyrillic(n).alias("cyr"),
-                F.when(text.contains_cyrillic(n), text.transliterate(n)).alias("tr"),
-                F.when(text.contains_cyrillic(n), text.known_latin(n)).alias("known"),
-            ),
-        )[0]
-
+    # one lambda for both names, so that the expression stays small
+    names = F.transform(
+        F.transform(F.array(c["city"], c["city_ru"]), text.normalize_name),
+        lambda n: F.struct(
+            n.alias("n"),
+            text.contains_cyrillic(n).alias("cyr"),
+            F.when(text.contains_cyrillic(n), text.transliterate(n)).alias("tr"),
+            F.when(text.contains_cyrillic(n), text.known_latin(n)).alias("known"),
+        ),
+    )
     return F.struct(
         *[c[f].alias(f) for f in ("source", "country", "state", "city", "city_ru", "postal", "lat", "lon", "has_coords", "trust")],
-        name(c["city"]).alias("k_en"),
-        name(c["city_ru"]).alias("k_ru"),
+        names[0].alias("k_en"),
+        names[1].alias("k_ru"),
         text.normalize_name(c["state"]).alias("k_state"),
         text.normalize_postal(c["postal"]).alias("k_postal"),
     )
@@ -141,7 +140,9 @@ def pair_score(a: Column, b: Column) -> Column:
 def name_score(a: Column, b: Column) -> Column:
     """The best of the four pairings of names; a side without a name scores 0."""
     pairs = [(a["k_en"], b["k_en"]), (a["k_ru"], b["k_ru"]), (a["k_en"], b["k_ru"]), (a["k_ru"], b["k_en"])]
-    return F.greatest(*[pair_score(x, y) for x, y in pairs])
+    # one lambda for the four, so that the expression stays small
+    every = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in pairs])
+    return F.array_max(F.transform(every, lambda p: pair_score(p["x"], p["y"])))
 
 
 def state_score(na: Column, nb: Column) -> Column:
