@@ -144,10 +144,36 @@ def accuracy_radius(snapped, confidence, bits) -> F.Column:
 
 
 def time_zone(df: DataFrame, zones: DataFrame | None, lat: str = "lat", lon: str = "lon", cell: float = 0.25) -> DataFrame:
-    """``df`` with time_zone from a grid table (cell_y, cell_x, time_zone) of ``cell`` degrees, 'UTC' where it
-    has none. The table stands in for zone polygons, which are the caller's data."""
+    """``df`` with time_zone from the caller's data, 'UTC' where it has none: polygons (time_zone, ring: array of
+    struct<x, y>, longitude and latitude), or a grid table (cell_y, cell_x, time_zone) of ``cell`` degrees."""
     if zones is None:
         return df.withColumn("time_zone", F.lit("UTC"))
-    at = df.withColumn("cell_y", F.floor(F.col(lat) / cell)).withColumn("cell_x", F.floor(F.col(lon) / cell))
-    out = at.join(_side(zones), ["cell_y", "cell_x"], "left").drop("cell_y", "cell_x")
+    if "ring" in zones.columns:
+        found = zones_of(df.select(F.col(lat).alias("y"), F.col(lon).alias("x")), zones)
+        out = df.join(found, (F.col(lat) == F.col("y")) & (F.col(lon) == F.col("x")), "left").drop("y", "x")
+    else:
+        at = df.withColumn("cell_y", F.floor(F.col(lat) / cell)).withColumn("cell_x", F.floor(F.col(lon) / cell))
+        out = at.join(_side(zones), ["cell_y", "cell_x"], "left").drop("cell_y", "cell_x")
     return out.withColumn("time_zone", F.coalesce("time_zone", F.lit("UTC")))
+
+
+def zones_of(places: DataFrame, polygons: DataFrame, cell: float = 1.0) -> DataFrame:
+    """(y, x, time_zone) of the distinct places that lie in a polygon, the first zone by name in several.
+
+    A polygon is listed in each cell of the box around it, and a place is tested against those of its own cell: it is
+    inside if a ray to the east crosses the ring an odd number of times."""
+    at = lambda f, c: F.floor(f(F.transform("ring", lambda p: p[c])) / cell)
+    listed = polygons.select(
+        "time_zone", "ring", F.explode(F.sequence(at(F.array_min, "y"), at(F.array_max, "y"))).alias("cy"), at(F.array_min, "x").alias("x0"), at(F.array_max, "x").alias("x1")
+    )
+    listed = listed.select("time_zone", "ring", "cy", F.explode(F.sequence("x0", "x1")).alias("cx"))
+    y, x = F.col("y"), F.col("x")
+    spots = places.where("y is not null and x is not null").distinct().withColumn("cy", F.floor(y / cell)).withColumn("cx", F.floor(x / cell))
+    # each vertex with the next one, the last with the first
+    edges = F.arrays_zip(F.col("ring").alias("a"), F.concat(F.slice("ring", 2, F.size("ring")), F.slice("ring", 1, 1)).alias("b"))
+    a, b = (lambda e: e["a"]), (lambda e: e["b"])
+    level = lambda e: (a(e)["y"] > y) != (b(e)["y"] > y)
+    before = lambda e: x < (b(e)["x"] - a(e)["x"]) * (y - a(e)["y"]) / (b(e)["y"] - a(e)["y"]) + a(e)["x"]
+    crossed = F.size(F.filter(F.filter(edges, level), before))
+    hits = spots.join(listed, ["cy", "cx"]).where(crossed % 2 == 1)
+    return hits.groupBy("y", "x").agg(F.min("time_zone").alias("time_zone"))

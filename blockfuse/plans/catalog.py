@@ -449,6 +449,14 @@ def place_aliases(spark, d) -> DataFrame:
     return out.select("c_custkey", F.col("pos").cast("long").alias("pos"), "key")
 
 
+@query(f"""select p.c_custkey, coalesce(min(zone), 'UTC') as time_zone from {src.POINTS_SQL} p left join (
+    select c_custkey, zone from {src.POINTS_SQL} join {src.EDGES_SQL} on (y1 > lat) <> (y2 > lat) and lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1
+    group by c_custkey, zone having count(*) % 2 = 1) h using (c_custkey) group by p.c_custkey""")
+def time_zone_polygons(spark, d) -> DataFrame:
+    polygons = spark.createDataFrame(src.POLYGONS, "time_zone string, ring array<struct<x:double,y:double>>")
+    return enrich.time_zone(src.points(spark, d), polygons).select("c_custkey", "time_zone")
+
+
 # ---- quality --------------------------------------------------------------------------------------
 
 _CUR, _PREV = src.release_sql("current"), src.release_sql("previous")

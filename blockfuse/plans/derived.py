@@ -297,3 +297,13 @@ COUNTRIES = (("RU", "Russia", "EU", "7", "RUB"), ("US", "United States", "NA", "
 COUNTRIES_SQL = "(select * from (values " + ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in COUNTRIES) + ") t(code, name, continent, calling, currency))"
 ZONES = tuple((k, 4 * k, f"Zone/{k % 7}") for k in range(-360, 360))
 ZONES_SQL = "(select k as cell_y, 4 * k as cell_x, 'Zone/' || cast(((k % 7) + 7) % 7 as varchar) as time_zone from (select unnest(generate_series(-360, 359)) as k))"
+
+#: Zones as polygons (name, vertices): a triangle, a concave one, one that lies over both
+POLYGONS = (
+    ("Zone/A", ((-120.0, -60.0), (100.0, -50.0), (0.0, 80.0))),
+    ("Zone/B", ((20.0, -80.0), (160.0, -80.0), (160.0, 80.0), (90.0, -20.0), (20.0, 80.0))),
+    ("Zone/0", ((-10.0, -10.0), (30.0, -10.0), (30.0, 10.0), (-10.0, 10.0))),
+)
+EDGES_SQL = "(select * from (values " + ", ".join(
+    f"('{name}', {x1}::double, {y1}::double, {x2}::double, {y2}::double)" for name, ring in POLYGONS for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])
+) + ") t(zone, x1, y1, x2, y2))"
