@@ -18,7 +18,8 @@ the order comes from a fixed-size count sketch that is summed over the shingles
   verified; as most members of such lists are thereby in one component, only pairs of members in
   *different* components remain. While their number is large, the members outside of a list's largest
   component are paired with a few of its members (HUBS, drawn anew); what is left is compared within
-  the list by signatures, in tiles of at most ``TILE`` members. So no link between components is lost.
+  the list by signatures, in tiles of at most ``TILE`` members: first the nearest ones of each member, which
+  joins most components that link, then all pairs of different components. So no link between components is lost.
   Very frequent shingles are salted, so that a list spreads over tasks; its parts meet again later.
 * The *signature* of a set: for each of B cells (B a power of two of at least n and LEAST_CELLS) the parity of the
   number of its hashes there. Parities that differ are no more than the hashes that only one of
@@ -61,7 +62,9 @@ TOK_BITS, SLICE_ENTRIES = 48, 1 << 21
 SMALL, ROUNDS, MOST_LEVEL = 8, 4, 8
 #: Members of a list's largest component that the others are paired with in a round; rounds go on while more
 #: than so many pairs are left for each list entry and each halves them; members of a tile.
-HUBS, OPEN_PAIRS, TILE = 8, 64, 2048
+HUBS, OPEN_PAIRS, TILE = 8, 1024, 2048
+#: Members that each is compared with first, within its tile, and how often.
+NEAREST, NEAR_ROUNDS = 4, 1
 #: Cells of a signature at least.
 LEAST_CELLS = 1 << 10
 #: What verifying a candidate costs, in list entries.
@@ -602,8 +605,9 @@ def _hub_pairs(at: DataFrame, step: int) -> DataFrame:
     return pairs.select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
 
 
-def _tile_pairs(at: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a list in different components that the signatures and sizes let link.
+def _tile_pairs(at: DataFrame, classes: DataFrame, percent: int, nearest: int = 0) -> DataFrame:
+    """Pairs of members of a list in different components that the signatures and sizes let link; with ``nearest``
+    only those of each member with so many members whose signatures are the least apart from its own.
 
     Lists of nearly the same members are compared as one: a list's key is the least of its members' hashes,
     and all members of the lists of a key make a group. A pair is given by the first group that both are in. A
@@ -628,16 +632,16 @@ def _tile_pairs(at: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[:2] != now:
                     if held:
-                        yield from _tile(held, *now, percent)
+                        yield from _tile(held, *now, percent, nearest)
                     now, held = row[:2], []
                 held.append(row[2:])
         if held:
-            yield from _tile(held, *now, percent)
+            yield from _tile(held, *now, percent, nearest)
 
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _tile(rows: list, key: int, tile: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _tile(rows: list, key: int, tile: int, percent: int, nearest: int = 0) -> Iterator[pa.RecordBatch]:
     """Pairs that may link within a tile of group ``key``, of members (part, id, component, n, sig, keys)."""
     across = tile >> 20 != tile & ((1 << 20) - 1)
     rows.sort(key=lambda r: len(r[4]))
@@ -653,7 +657,9 @@ def _tile(rows: list, key: int, tile: int, percent: int) -> Iterator[pa.RecordBa
         block = max(1, (1 << 20) // (len(b) * w))
         for k in range(0, len(a), block):
             x = a[k : k + block]
-            may = (of[x][:, None] != of[b][None, :]) & (x[:, None] < b[None, :])
+            may = of[x][:, None] != of[b][None, :]
+            if not nearest:
+                may &= x[:, None] < b[None, :]
             if across:
                 may &= mine[x][:, None] != mine[b][None, :]
             if not may.any():
@@ -661,8 +667,14 @@ def _tile(rows: list, key: int, tile: int, percent: int) -> Iterator[pa.RecordBa
             apart = np.bitwise_count(sa[k : k + block][:, None, :] ^ sb[None, :, :]).sum(axis=2, dtype=np.int64)
             both = n[x][:, None] + n[b][None, :]
             may &= apart <= both - 2 * -(-percent * both // (100 + percent))
+            if nearest and len(b) > nearest:
+                apart[~may] = np.iinfo(np.int64).max
+                may &= apart <= np.partition(apart, nearest - 1, axis=1)[:, nearest - 1 : nearest]
             i, j = np.nonzero(may)
-            first = [before[p].isdisjoint(before[q]) for p, q in zip(x[i].tolist(), b[j].tolist(), strict=True)]
+            if nearest and len(i) > nearest * len(x):  # ties
+                some = np.concatenate([np.flatnonzero(i == r)[:nearest] for r in range(len(x))])
+                i, j = i[some], j[some]
+            first = [bool(nearest) or before[p].isdisjoint(before[q]) for p, q in zip(x[i].tolist(), b[j].tolist(), strict=True)]
             if any(first):
                 one, two = ids[x[i]][first], ids[b[j]][first]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
@@ -683,29 +695,32 @@ def links(docs: DataFrame, doc_id: str, text_col: str, words: int = WORDS, perce
 
     def check(pairs: DataFrame, tested: bool = False) -> DataFrame:
         """The links among pairs."""
-        pairs = pairs if tested else possible(pairs, classes, percent)
+        pairs = pairs if tested else possible(pairs, classes, percent)  # tiles have tested theirs
         wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
         sets = whole_sets(narrow, table, classes, wanted, words)
         out = verified(sets, pairs, percent)
-        discard(sets, pairs)
+        discard(sets)
         return out
 
     found, before = check(tried), float("inf")
-    for step in range(ROUNDS + 1):
+    tiles, near = False, 0
+    for step in range(ROUNDS + NEAR_ROUNDS + 1):
         at = _open(member, found)
         sizes = at.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok")
         open_ = F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m"))
         left, n = sizes.agg(open_.alias("p"), F.sum("m").alias("m")).agg(F.sum("p") / 2, F.sum("m")).first()
         if not n:
             break
-        # hubs as long as they help
-        last, before = step == ROUNDS or left <= OPEN_PAIRS * n or 2 * left > before, left
-        more = _tile_pairs(at, classes, percent) if last else _hub_pairs(at, step)
+        # hubs as long as they help; then each member's nearest ones, which joins most of what links; then all pairs
+        tiles, before = tiles or step >= ROUNDS or left <= OPEN_PAIRS * n or 2 * left > before, left
+        last = near == NEAR_ROUNDS
+        more = _tile_pairs(at, classes, percent, 0 if last else NEAREST) if tiles else _hub_pairs(at, step)
         more = materialize(more.join(tried, ["a", "b"], "left_anti"), "more")
-        found = found.unionByName(check(more, tested=last))
+        found = found.unionByName(check(more, tested=tiles))
         discard(at)
         if last:
             break
+        near += tiles
         tried = tried.unionByName(more)
     return rows, classes.select("cls", "id"), found
 

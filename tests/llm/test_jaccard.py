@@ -66,13 +66,32 @@ def test_components_equal_brute_force(spark, seed):
     assert run(spark, rows) == brute(rows)
 
 
-def test_long_lists_rounds_and_salts(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "SMALL", 2)
-    monkeypatch.setattr(jaccard, "SALT_ROWS", 4)
+@pytest.mark.parametrize("more", [{"SALT_ROWS": 4}, {"OPEN_PAIRS": 0, "TILE": 8, "NEAREST": 1}])
+def test_long_lists_rounds_salts_and_tiles(spark, monkeypatch, more):
+    for name, value in ({"SMALL": 2} | more).items():
+        monkeypatch.setattr(jaccard, name, value)
     rows = corpus(3)
     assert run(spark, rows) == brute(rows)
 
 
+def test_words_and_signatures():
+    """Words of letters whose polynomials meet (Thue-Morse and its complement) are told apart; parities bound differences."""
+    import numpy as np
+
+    a = "".join("ab"[bin(k).count("1") % 2] for k in range(2048))
+    b = "".join("ba"[bin(k).count("1") % 2] for k in range(2048))
+    one, two, three = jaccard.shingle_sets([a.encode(), b.encode(), a.upper().encode()])
+    assert one != two and (one == three).all()
+    rnd = np.random.default_rng(1)
+    for n, m, both in ((50, 60, 30), (3000, 2500, 2400), (1, 1, 0), (100, 5000, 100)):
+        s = np.unique(rnd.integers(0, 1 << 63, n + m - both).astype(np.uint64) * np.uint64(2))
+        x, y = (np.frombuffer(jaccard.signature(z), np.uint64) for z in (s[:n], s[n - both :]))
+        width = min(len(x), len(y))
+        apart = int(np.bitwise_count(jaccard._folded(x, width) ^ jaccard._folded(y, width)).sum())
+        assert apart <= n + m - 2 * both
+        assert (jaccard._folded(x, 1) == jaccard._folded(jaccard._folded(x, 2), 1)).all()
+
+
 def test_null_ids_ties_empty_and_extra_columns(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(None, text), (7, text), (7, text), (3, text + " more"), (9, None)]
