@@ -114,27 +114,30 @@ def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
 SAMPLE_BYTES = 64 << 20
 
 
-def sampled(rows: DataFrame, text: str, n: int, most_bytes: int = SAMPLE_BYTES, label: str | None = None) -> list:
+def sampled(rows: DataFrame, text: str, n: int, most_bytes: int = SAMPLE_BYTES, labels: DataFrame | None = None, key: str = "") -> list:
     """Rows to fit a model on, on the driver: one for each distinct text, in order of the texts' hashes, at most
-    ``n`` and with texts of at most ``most_bytes`` in all (a text that no longer fits is passed over). With a
-    ``label`` (0 or 1; a text has its largest) that is for each of the two."""
+    ``n`` and with texts of at most ``most_bytes`` in all (a text that no longer fits is passed over).
+
+    With ``labels``, rows (key, label 0 or 1), that is for each of the two labels, a text having its largest, and the
+    rows are (text, label). Only hashes and sizes meet the labels; no text is shuffled but those chosen."""
     hashed = rows.where(F.col(text).isNotNull()).withColumn("__h", F.xxhash64(text))
-    mark = F.lit(0) if label is None else F.coalesce(F.max(label), F.lit(0))
-    sizes = hashed.groupBy("__h").agg(F.max(F.octet_length(text)).alias("size"), mark.cast("int").alias("__y"))
+    narrow = hashed.select("__h", F.octet_length(text).alias("size"), *([key] if key else []))
+    narrow = narrow.withColumn("label", F.lit(0)) if labels is None else narrow.join(labels, key)
+    sizes = narrow.groupBy("__h").agg(F.max("size").alias("size"), F.max("label").alias("label"))
     chosen = []
-    for y in (0,) if label is None else (0, 1):
+    for y in (0,) if labels is None else (0, 1):
         left = most_bytes
-        for h, size, _ in sizes.where(F.col("__y") == y).orderBy("__h").limit(n).collect():  # n rows of numbers
+        for h, size, _ in sizes.where(F.col("label") == y).orderBy("__h").limit(n).collect():  # n rows of numbers
             if size <= left:
                 chosen.append((h, y))
                 left -= size
     if not chosen:
         return []
     chosen = rows.sparkSession.createDataFrame(chosen, "__h long, __y int")
+    if labels is not None:
+        hashed = hashed.select(text, "__h")
     found = hashed.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).orderBy("__h")
-    if label is not None:
-        found = found.withColumn(label, F.col("__y"))
-    return found.drop("__h", "__y").collect()
+    return (found.select(text, "__y") if labels is not None else found.drop("__h", "__y")).collect()
 
 
 def texts(column: pa.Array) -> Iterator[bytes | None]:

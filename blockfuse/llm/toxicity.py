@@ -329,10 +329,10 @@ def held_out(doc_id) -> F.Column:
 def training_texts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[bytes, int]]:
     """(text, toxic) of at most about ``sample`` labelled documents of each kind that are not held out."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    picked = picked.where(F.octet_length("text") > 0).join(known, "doc_id").select("text", "toxic")
-    found = [(r[0].encode(), r[1]) for r in sampled(picked, "text", sample, SAMPLE_BYTES // 2, "toxic")]
+    picked = picked.where(F.octet_length("text") > 0)
+    found = [(r[0].encode(), r[1]) for r in sampled(picked, "text", sample, SAMPLE_BYTES // 2, known, "doc_id")]
     return found if {y for _, y in found} == {0, 1} else []
 
 
