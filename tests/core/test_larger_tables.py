@@ -31,6 +31,7 @@ def larger(tmp_path_factory):
 @pytest.mark.parametrize("name", [
     "seed_range_to_cidr",
     "split_to_24",
+    "seed_only_build",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
