@@ -32,6 +32,7 @@ def larger(tmp_path_factory):
     "seed_range_to_cidr",
     "split_to_24",
     "seed_only_build",
+    "country_dim_join",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
