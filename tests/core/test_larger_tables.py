@@ -33,6 +33,7 @@ def larger(tmp_path_factory):
     "split_to_24",
     "seed_only_build",
     "country_dim_join",
+    "asof_registry_join",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
