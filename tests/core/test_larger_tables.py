@@ -34,6 +34,7 @@ def larger(tmp_path_factory):
     "seed_only_build",
     "country_dim_join",
     "asof_registry_join",
+    "release_build",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
