@@ -35,6 +35,7 @@ def larger(tmp_path_factory):
     "country_dim_join",
     "asof_registry_join",
     "release_build",
+    "release_record_nested",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
