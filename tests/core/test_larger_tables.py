@@ -36,6 +36,7 @@ def larger(tmp_path_factory):
     "asof_registry_join",
     "release_build",
     "release_record_nested",
+    "build_counters",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
