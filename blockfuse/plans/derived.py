@@ -39,6 +39,12 @@ def pick_sql(values, index: str) -> str:
     return f"({quoted(values)})[cast(({index}) % {len(values)} + 1 as int)]"
 
 
+def hundredths(n: str, less: int) -> F.Column:
+    """(n) / 100.0 - less as the SQL has it: its / gives doubles, where Spark's decimals would round once only and end
+    one unit in the last place away, at times on the other side of a limit."""
+    return F.expr(f"cast({n} as double) / 100D - {less}D")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,8 +68,7 @@ def ranges(spark, d) -> DataFrame:
     return table(spark, d, "supplier").select(
         "s_suppkey", F.expr(RANGE_START).alias("ip_start"), F.expr(RANGE_END).alias("ip_end"),
         pick(CODES, "s_suppkey").alias("country"), pick(STATES, "s_suppkey").alias("state"), pick(NAMES, "s_suppkey").alias("city"),
-        F.expr("(s_suppkey * 37 % 18000) / 100.0 - 90").cast("double").alias("lat"),
-        F.expr("(s_suppkey * 91 % 36000) / 100.0 - 180").cast("double").alias("lon"),
+        hundredths("s_suppkey * 37 % 18000", 90).alias("lat"), hundredths("s_suppkey * 91 % 36000", 180).alias("lon"),
     )
 
 
@@ -174,8 +179,8 @@ LAT, LON = "cast((c_custkey * 377 % 19000) / 100.0 - 95 as double)", "cast((c_cu
 
 def points(spark, d) -> DataFrame:
     near = F.expr("c_custkey % 5 = 0")
-    lat = F.when(near, F.lit(51.0) + F.expr("cast(c_custkey % 9 as double) / 100")).otherwise(F.expr(LAT))
-    lon = F.when(near, F.lit(9.0) + F.expr("cast(c_custkey % 8 as double) / 100")).otherwise(F.expr(LON))
+    lat = F.when(near, F.lit(51.0) + F.expr("cast(c_custkey % 9 as double) / 100")).otherwise(hundredths("c_custkey * 377 % 19000", 95))
+    lon = F.when(near, F.lit(9.0) + F.expr("cast(c_custkey % 8 as double) / 100")).otherwise(hundredths("c_custkey * 913 % 37000", 185))
     return table(spark, d, "customer").select("c_custkey", pick(CODES, "c_custkey").alias("country"), lat.alias("lat"), lon.alias("lon"))
 
 

@@ -37,6 +37,7 @@ def larger(tmp_path_factory):
     "release_build",
     "release_record_nested",
     "build_counters",
+    "coordinate_checks",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
