@@ -38,6 +38,7 @@ def larger(tmp_path_factory):
     "release_record_nested",
     "build_counters",
     "coordinate_checks",
+    "trust_score",
 ])
 def test_equals_sql(spark, larger, name):
     d, con = larger
