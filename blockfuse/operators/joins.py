@@ -1,10 +1,14 @@
-"""Joins of addresses with blocks and ranges, rewritten as equi-joins.
+"""Joins of addresses with blocks and ranges, without nested loops, as a theta join would plan.
 
-A theta join would plan as a nested loop. Instead every distinct address is expanded to the block that
-contains it at each prefix length which occurs on the other side (33 at most, collected), and joined on
-(bits, first address); ranges are first cut into blocks. The blocks are written once, as they are counted
-and joined; that side is broadcast only if its counted size is small, otherwise the join shuffles on the
-block, and adaptive execution splits skewed partitions.
+Blocks that lie in each other: of each length, they are cut into pieces that do not overlap, each with the
+row that wins there. Distinct addresses and pieces meet in cells, sorted once; the last piece of each length
+before an address is the only one that can hold it.
+
+Ranges that do not overlap: every distinct address is expanded to the block that contains it at each prefix
+length which occurs on the other side (33 at most, collected), and joined on (bits, first address); ranges
+are first cut into blocks. The blocks are written once, as they are counted and joined; that side is
+broadcast only if its counted size is small, otherwise the join shuffles on the block, and adaptive
+execution splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -18,6 +22,10 @@ from .boundary import settled
 #: Rows up to which a block side is broadcast.
 BROADCAST_ROWS = 200_000
 
+#: Addresses of a cell, as a power of two: a task takes that many distinct ones of each kind at most, and pieces of
+#: short blocks are no more than 4096 a length besides the rows.
+CELL_BITS = 20
+
 
 def _sized(df: DataFrame) -> DataFrame:
     """A broadcast hint behind a check that reads no more rows than the bound."""
@@ -35,17 +43,38 @@ def _lengths(blocks: DataFrame) -> list[int]:
     return sorted(r[0] for r in blocks.select("bits").distinct().collect())
 
 
+def _pieces(feed: DataFrame, payload: list[str], order: list[str]) -> DataFrame:
+    """(bits, cell, pos, end, hit): of each length, where each row wins, cut at the borders of cells.
+
+    Blocks of one length and one end are nested by their starts, so a row wins from its start on unless one
+    that starts before it is less; it ends where the next winner starts."""
+    rows = feed.where("bits is not null and ip_start <= ip_end")
+    least = F.struct(*order)
+    one = rows.groupBy("bits", "ip_end", "ip_start").agg(F.min(least).alias("o"), F.min_by(F.struct("bits", *payload), least).alias("hit"))
+    w = Window.partitionBy("bits", "ip_end").orderBy("ip_start")
+    before = F.min("o").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    won = one.withColumn("before", before).where("before is null or o < before")
+    end = F.coalesce(F.lead("ip_start").over(w) - 1, F.col("ip_end"))
+    cells = F.expr(f"sequence(shiftright(ip_start, {CELL_BITS}), shiftright(end, {CELL_BITS}))")
+    cut = won.withColumn("end", end).withColumn("cell", F.explode(cells))
+    first = F.greatest("ip_start", F.expr(f"shiftleft(cell, {CELL_BITS})"))
+    return cut.select("bits", "cell", first.alias("pos"), "end", "hit")
+
+
 def longest_prefix(addresses: DataFrame, feed: DataFrame, payload: list[str], order: list[str]) -> DataFrame:
     """(addr, payload...): for each distinct addr the row of the most specific feed block that holds it.
 
-    ``feed``: bits, ip_start, ip_end (a block written with host bits covers ip_start..ip_end only), the
-    payload, and ``order``, of which the least row wins among equally long blocks."""
-    blocks = settled(feed.withColumn("base", ip.masked(F.col("ip_start"), F.col("bits"))))
-    best = F.struct((-F.col("bits")).alias("b"), *order)
-    hits = _expanded(addresses, _lengths(blocks)).join(_sized(blocks), ["bits", "base"])
-    hits = hits.where("addr between ip_start and ip_end")
-    picked = hits.groupBy("addr").agg(F.min_by(F.struct("bits", *payload), best).alias("p"))
-    return picked.select("addr", F.col("p.bits").alias("matched_bits"), *[F.col(f"p.{c}").alias(c) for c in payload])
+    ``feed``: bits, ip_start, ip_end (the block's last address; a block written with host bits covers
+    ip_start..ip_end only), the payload, and ``order``, of which the least row wins among equally long blocks."""
+    pieces = settled(_pieces(feed, payload, order))
+    lengths = _lengths(pieces)[::-1]
+    asked = addresses.select(F.col("addr").cast("long").alias("pos")).where("pos is not null").distinct()
+    rows = pieces.unionByName(asked.withColumn("cell", F.shiftright("pos", CELL_BITS)), allowMissingColumns=True)
+    w = Window.partitionBy("cell").orderBy("pos", F.col("bits").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    last = {f"l{n}": F.last(F.when(F.col("bits") == n, F.struct("end", "hit")), ignorenulls=True).over(w) for n in lengths}
+    holds = [F.when(F.col(f"{c}.end") >= F.col("pos"), F.col(f"{c}.hit")) for c in last]
+    found = rows.withColumns(last).where("bits is null").select("pos", F.coalesce("hit", *holds).alias("p")).where("p is not null")
+    return found.select(F.col("pos").alias("addr"), F.col("p.bits").alias("matched_bits"), *[F.col(f"p.{c}").alias(c) for c in payload])
 
 
 def disjoint(ranges: DataFrame, order: list[str]) -> DataFrame:
