@@ -1,8 +1,8 @@
 """Joins of addresses with blocks and ranges, without nested loops, as a theta join would plan.
 
-Blocks that lie in each other: of each length, they are cut into pieces that do not overlap, each with the
-row that wins there. Distinct addresses and pieces meet in cells, sorted once; the last piece of each length
-before an address is the only one that can hold it.
+Blocks that lie in each other, and ranges of which the last start counts, are cut into pieces, each with the row
+that wins there; pieces of blocks of one length do not overlap. Distinct addresses and pieces meet in cells, sorted
+once; the last piece of each length before an address is the only one that can hold it.
 
 Ranges that do not overlap: every distinct address is expanded to the block that contains it at each prefix
 length which occurs on the other side (33 at most, collected), and joined on (bits, first address); ranges
@@ -54,11 +54,25 @@ def _pieces(feed: DataFrame, payload: list[str], order: list[str]) -> DataFrame:
     w = Window.partitionBy("bits", "ip_end").orderBy("ip_start")
     before = F.min("o").over(w.rowsBetween(Window.unboundedPreceding, -1))
     won = one.withColumn("before", before).where("before is null or o < before")
-    end = F.coalesce(F.lead("ip_start").over(w) - 1, F.col("ip_end"))
+    return _cut(won.withColumn("end", F.coalesce(F.lead("ip_start").over(w) - 1, F.col("ip_end"))))
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """(bits, cell, pos, end, hit) of rows with ip_start instead of cell and pos: cut at the borders of cells."""
     cells = F.expr(f"sequence(shiftright(ip_start, {CELL_BITS}), shiftright(end, {CELL_BITS}))")
-    cut = won.withColumn("end", end).withColumn("cell", F.explode(cells))
     first = F.greatest("ip_start", F.expr(f"shiftleft(cell, {CELL_BITS})"))
-    return cut.select("bits", "cell", first.alias("pos"), "end", "hit")
+    return rows.withColumn("cell", F.explode(cells)).select("bits", "cell", first.alias("pos"), "end", "hit")
+
+
+def _held(addresses: DataFrame, pieces: DataFrame, lengths: list[int]) -> DataFrame:
+    """(addr, hit) of each distinct address that a piece holds, of the greatest length; pieces of one length do not overlap."""
+    asked = addresses.select(F.col("addr").cast("long").alias("pos")).where("pos is not null").distinct()
+    rows = pieces.unionByName(asked.withColumn("cell", F.shiftright("pos", CELL_BITS)), allowMissingColumns=True)
+    w = Window.partitionBy("cell").orderBy("pos", F.col("bits").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    last = {f"l{n}": F.last(F.when(F.col("bits") == n, F.struct("end", "hit")), ignorenulls=True).over(w) for n in lengths}
+    holds = [F.when(F.col(f"{c}.end") >= F.col("pos"), F.col(f"{c}.hit")) for c in last]
+    found = rows.withColumns(last).where("bits is null").select(F.col("pos").alias("addr"), F.coalesce("hit", *holds[::-1]).alias("hit"))
+    return found.where("hit is not null")
 
 
 def longest_prefix(addresses: DataFrame, feed: DataFrame, payload: list[str], order: list[str]) -> DataFrame:
@@ -67,14 +81,8 @@ def longest_prefix(addresses: DataFrame, feed: DataFrame, payload: list[str], or
     ``feed``: bits, ip_start, ip_end (the block's last address; a block written with host bits covers
     ip_start..ip_end only), the payload, and ``order``, of which the least row wins among equally long blocks."""
     pieces = settled(_pieces(feed, payload, order))
-    lengths = _lengths(pieces)[::-1]
-    asked = addresses.select(F.col("addr").cast("long").alias("pos")).where("pos is not null").distinct()
-    rows = pieces.unionByName(asked.withColumn("cell", F.shiftright("pos", CELL_BITS)), allowMissingColumns=True)
-    w = Window.partitionBy("cell").orderBy("pos", F.col("bits").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    last = {f"l{n}": F.last(F.when(F.col("bits") == n, F.struct("end", "hit")), ignorenulls=True).over(w) for n in lengths}
-    holds = [F.when(F.col(f"{c}.end") >= F.col("pos"), F.col(f"{c}.hit")) for c in last]
-    found = rows.withColumns(last).where("bits is null").select("pos", F.coalesce("hit", *holds).alias("p")).where("p is not null")
-    return found.select(F.col("pos").alias("addr"), F.col("p.bits").alias("matched_bits"), *[F.col(f"p.{c}").alias(c) for c in payload])
+    found = _held(addresses, pieces, _lengths(pieces))
+    return found.select("addr", F.col("hit.bits").alias("matched_bits"), *[F.col(f"hit.{c}").alias(c) for c in payload])
 
 
 def disjoint(ranges: DataFrame, order: list[str]) -> DataFrame:
@@ -110,7 +118,9 @@ def point_in_range(addresses: DataFrame, ranges: DataFrame, payload: list[str])
 
 def as_of_range(addresses: DataFrame, ranges: DataFrame, payload: list[str], order: list[str]) -> DataFrame:
     """The range with the greatest start at or before the address, if it also reaches the address."""
-    return point_in_range(addresses, disjoint(ranges, order), payload)
+    rows = disjoint(ranges, order).select(F.lit(0).alias("bits"), "ip_start", F.col("ip_end").alias("end"), F.struct(*payload).alias("hit"))
+    found = _held(addresses, _cut(rows), [0])
+    return found.select("addr", *[F.col(f"hit.{c}").alias(c) for c in payload])
 
 
 def first_by_key(df: DataFrame, key: list[str], order: list[str], payload: list[str]) -> DataFrame:
