@@ -27,9 +27,15 @@ BROADCAST_ROWS = 200_000
 CELL_BITS = 20
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """For tables that came out of a few rows, as blocks of ranges: Spark takes those to be as small as what they came
+    from, and would broadcast them whatever their size."""
+    return df.hint("merge")
+
+
 def _sized(df: DataFrame) -> DataFrame:
     """A broadcast hint behind a check that reads no more rows than the bound."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else shuffled(df)
 
 
 def _expanded(addresses: DataFrame, lengths: list[int]) -> DataFrame:

@@ -79,7 +79,7 @@ def resolve(rows: DataFrame, inputs: Inputs) -> DataFrame:
     if inputs.geofeed is not None:
         payload = ["country", "state", "city", "postal"]
         hits = joins.longest_prefix(at, inputs.geofeed, payload, ["file", "line"])
-        found = found.join(hits.select("addr", F.struct(*payload).alias("gf")), "addr", "left")
+        found = found.join(joins.shuffled(hits.select("addr", F.struct(*payload).alias("gf"))), "addr", "left")
     points = {
         "mm": (inputs.maxmind, ["city", "country", "subdivisions", "postal", "location"]),
         "i2": (inputs.ip2loc, ["country_short", "region", "city", "zipcode", "latitude", "longitude"]),
@@ -88,9 +88,10 @@ def resolve(rows: DataFrame, inputs: Inputs) -> DataFrame:
     for name, (donor, payload) in points.items():
         if donor is not None:
             hits = joins.point_in_range(at, donor, payload)
-            found = found.join(hits.select("addr", F.struct(*payload).alias(name)), "addr", "left")
+            found = found.join(joins.shuffled(hits.select("addr", F.struct(*payload).alias(name))), "addr", "left")
     if inputs.registry is not None:
-        found = found.join(joins.as_of_range(at, inputs.registry, ["cc"], ["file", "line"]), "addr", "left")
+        hits = joins.as_of_range(at, inputs.registry, ["cc"], ["file", "line"])
+        found = found.join(joins.shuffled(hits), "addr", "left")
     return settled(found)
 
 
@@ -100,7 +101,7 @@ def gather(rows: DataFrame, inputs: Inputs) -> DataFrame:
     one join."""
     none, no = F.lit(""), F.lit(0.0)
     country = F.col("country")
-    rows = rows.join(resolve(rows, inputs), "addr", "left")
+    rows = rows.join(joins.shuffled(resolve(rows, inputs)), "addr", "left")
     slots = [consensus.candidate("dbip", country, F.col("state"), F.col("city"), none, none, F.col("lat"), F.col("lon"), F.col("has_coords"))]
     if inputs.geofeed is not None:
         c = F.col("gf")

@@ -88,3 +88,12 @@ def test_longest_prefix_meets_no_pairs(spark):
     hits = joins.longest_prefix(spark.range(3000).selectExpr("30000 + id * 70000 as addr"), feed, ["v"], ["file", "line"])
     assert [r.v for r in hits.collect()] == [0] * 3000
     assert rows_out(hits._jdf.queryExecution().executedPlan()) <= 4000
+
+
+def test_no_broadcast_by_the_size_of_what_blocks_came_from(spark, monkeypatch):
+    """Blocks beyond the bound are not broadcast, though the ranges that they came out of are few."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    ranges = spark.range(3).selectExpr("id * 100000 + 1 as ip_start", "id * 100000 + 99998 as ip_end", "id as v")
+    hits = joins.point_in_range(spark.range(0, 300000, 50).selectExpr("id as addr"), ranges, ["v"])
+    assert {(r.addr // 100000, r.v) for r in hits.collect()} == {(0, 0), (1, 1), (2, 2)}
+    assert "BroadcastHashJoin" not in hits._jdf.queryExecution().executedPlan().toString()
