@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: A side is broadcast only if its counted rows times this estimate stay below the bound.
 BROADCAST_BYTES = 32 << 20
@@ -86,6 +88,13 @@ def _at_exit() -> None:
         release(spark)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of rows on the driver. It goes by Arrow: a list would go through an RDD, for which each executor
+    starts Python workers of another environment than those of its other stages, and keeps them."""
+    fields = T.StructType.fromDDL(schema)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(fields.names, r, strict=True)) for r in rows], to_arrow_schema(fields)), fields)
+
+
 def with_row_numbers(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a column of distinct longs that stay the same whenever it is read: file and place in the
     file where it is a scan of Parquet files; else it is written with numbers."""
@@ -94,7 +103,7 @@ def with_row_numbers(docs: DataFrame, name: str) -> DataFrame:
         return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
     at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     files = sorted(r[0] for r in docs.select(at[0].alias("f")).distinct().collect())  # one row a file
-    number = spark.createDataFrame([(f, k << 40) for k, f in enumerate(files)], "__f string, __n long")
+    number = local_table(spark, [(f, k << 40) for k, f in enumerate(files)], "__f string, __n long")
     out = docs.select("*", at[0].alias("__file"), at[1].alias("__at"))
     out = out.join(maybe_broadcast(number, 200), F.col("__file") == F.col("__f"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col("__n") + F.col("__at")).alias(name))
@@ -133,7 +142,7 @@ def sampled(rows: DataFrame, text: str, n: int, most_bytes: int = SAMPLE_BYTES,
                 left -= size
     if not chosen:
         return []
-    chosen = rows.sparkSession.createDataFrame(chosen, "__h long, __y int")
+    chosen = local_table(rows.sparkSession, chosen, "__h long, __y int")
     if labels is not None:
         hashed = hashed.select(text, "__h")
     found = hashed.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).orderBy("__h")
